@@ -6,6 +6,8 @@ engagement. NULL ids form one session per day and dimension value.
 """
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +23,9 @@ from erabridge.operators.events import (
     only_events,
 )
 
+# The dimension name under which ``session_reports`` keeps the whole day.
+TOTAL = "total"
+
 # ---------------------------------------------------------------- single steps
 
 
@@ -117,19 +122,8 @@ def session_report(
     Both shuffles follow a map-side aggregate, so a day, dimension value or
     session id holding much of the data reaches a reducer as one row per task.
     """
-    dims = [F.col(path).alias(dim)] if dim else []
-    per_session = (
-        only_events(events, SESSION_REPORT_EVENTS)
-        .select("event_date", "event_bundle_sequence_id", *dims, "event_name")
-        .groupBy("event_date", "event_bundle_sequence_id", *_keys(dim)[1:])
-        .agg(*_session_totals())
-    )
-    # One parse per session rather than per event. Only one text gives a day.
-    daily = (
-        per_session.withColumn("date", parse_event_date(F.col("event_date")))
-        .groupBy(*_keys(dim))
-        .agg(*_daily_totals())
-    )
+    rows = dated(only_events(events, SESSION_REPORT_EVENTS), dim, path)
+    daily = _daily_totals(_session_totals(rows, _keys(dim)), _keys(dim))
     return _finished(daily, _keys(dim)).withColumn(label, F.lit("GA4"))
 
 
@@ -137,45 +131,25 @@ def session_reports(events: DataFrame, dims: Mapping[str, str]) -> DataFrame:
     """The undimensioned report and one per entry of ``dims``, in one scan.
 
     ``dims`` maps dimension names to event fields. The result has one row per
-    (``dimension``, ``value``, ``date``); the undimensioned report is the one
-    with ``dimension`` NULL. Grouping sets expand each event once per report
-    and the map-side aggregate folds the copies before they are shuffled.
+    (``dimension``, ``value``, ``date``); the undimensioned report is found
+    under the dimension ``total``. Each event is unpivoted into one row per
+    report, and the map-side aggregate folds these before they are shuffled.
     """
-    names = list(dims)
-    base = ["event_date", "event_bundle_sequence_id"]
-    per_session = (
-        only_events(events, SESSION_REPORT_EVENTS)
-        .select(*base, *[F.col(p).alias(n) for n, p in dims.items()], "event_name")
-        .groupingSets(
-            [[*base], *[[*base, name] for name in names]], *base, *names
-        )
-        .agg(
-            *[F.grouping(name).alias(f"no_{name}") for name in names],
-            *_session_totals(),
-        )
-    )
-    dimension = F.coalesce(
-        *[F.when(F.col(f"no_{name}") == 0, F.lit(name)) for name in names]
+    rows = only_events(events, SESSION_REPORT_EVENTS).select(
+        parse_event_date(F.col("event_date")).alias("date"),
+        F.col("event_bundle_sequence_id").alias("session_id"),
+        "event_name",
+        F.lit(None).cast("string").alias(TOTAL),
+        *[F.col(path).alias(name) for name, path in dims.items()],
     )
-    daily = (
-        per_session.select(
-            parse_event_date(F.col("event_date")).alias("date"),
-            dimension.alias("dimension"),
-            F.coalesce(*names).alias("value"),
-            "starts",
-            "views",
-            "engagements",
-        )
-        .groupBy("date", "dimension", "value")
-        .agg(*_daily_totals())
+    long = rows.unpivot(
+        ["date", "session_id", "event_name"], [TOTAL, *dims], "dimension", "value"
     )
+    keys = ["date", "dimension", "value"]
+    daily = _daily_totals(_session_totals(long, keys), keys)
     # Without a dimension there is no value to be missing.
-    return _finished(
-        daily,
-        ["date", "dimension", "value"],
-        keyless=F.col("date").isNull()
-        | (F.col("dimension").isNotNull() & F.col("value").isNull()),
-    )
+    no_value = (F.col("dimension") != TOTAL) & F.col("value").isNull()
+    return _finished(daily, keys, F.col("date").isNull() | no_value)
 
 
 def _keys(dim: str | None) -> list[str]:
@@ -186,23 +160,33 @@ def _bounced(views: str, engagements: str) -> Column:
     return (F.col(views) == 1) & (F.col(engagements) == 0)
 
 
-def _session_totals() -> list[Column]:
-    return [
-        F.count_if(is_event(SESSION_START)).alias("starts"),
-        F.count_if(is_event(PAGE_VIEW)).alias("views"),
-        F.count_if(is_event(USER_ENGAGEMENT)).alias("engagements"),
-    ]
+def _session_totals(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Events of each kind per session.
+
+    Session starts are only ever counted per day and value, so they give up
+    their session id. That leaves them one row per task instead of one per
+    session, and adds no views or engagements to the session without an id.
+    """
+    session = F.when(~is_event(SESSION_START), F.col("session_id"))
+    return (
+        rows.withColumn("session_id", session)
+        .groupBy("session_id", *keys)
+        .agg(
+            F.count_if(is_event(SESSION_START)).alias("starts"),
+            F.count_if(is_event(PAGE_VIEW)).alias("views"),
+            F.count_if(is_event(USER_ENGAGEMENT)).alias("engagements"),
+        )
+    )
 
 
-def _daily_totals() -> list[Column]:
-    # Groups with nothing but session starts are no sessions to the bounce rate.
+def _daily_totals(sessions: DataFrame, keys: list[str]) -> DataFrame:
     active = (F.col("views") > 0) | (F.col("engagements") > 0)
-    return [
+    return sessions.groupBy(*keys).agg(
         F.sum("starts").alias("sessions"),
         F.sum("views").alias("pageviews"),
         F.count_if(_bounced("views", "engagements")).alias("bounced"),
         F.count_if(active).alias("active"),
-    ]
+    )
 
 
 def _finished(
@@ -215,16 +199,13 @@ def _finished(
     a row with a NULL key shows 0 for both.
     """
     if keyless is None:
-        keyless = F.lit(False)
-        for key in keys:
-            keyless = keyless | F.col(key).isNull()
-    rate = F.when(F.col("active") > 0, F.col("bounced") / F.col("active"))
+        keyless = reduce(or_, [F.col(key).isNull() for key in keys])
+    rate = F.when(
+        ~keyless & (F.col("active") > 0), F.col("bounced") / F.col("active")
+    )
     return daily.where(F.col("sessions") > 0).select(
         *keys,
         "sessions",
         F.when(keyless, F.lit(0)).otherwise(F.col("pageviews")).alias("pageviews"),
-        (
-            F.when(keyless, F.lit(0.0)).otherwise(F.coalesce(rate, F.lit(0.0)))
-            * F.lit(100)
-        ).alias("bounce_rate"),
+        (F.coalesce(rate, F.lit(0.0)) * F.lit(100)).alias("bounce_rate"),
     )

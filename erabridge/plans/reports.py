@@ -12,7 +12,7 @@ from erabridge.operators.history import (
 )
 from erabridge.operators.layout import for_writing, ordered, union_eras
 from erabridge.operators.products import product_report
-from erabridge.operators.sessions import session_report, session_reports
+from erabridge.operators.sessions import TOTAL, session_report, session_reports
 from erabridge.sources.shared import fresh_path
 from erabridge.sources.sink import replace_table
 
@@ -115,7 +115,7 @@ def session_summary(spark: SparkSession, events: DataFrame) -> DataFrame:
     fields = {
         spec.event_field for spec in REPORTS.values() if spec.event_field
     }
-    dims = {field.replace(".", "_"): field for field in sorted(fields)}
+    dims = {_summary_name(field): field for field in sorted(fields)}
     path = fresh_path(spark, "session-summary")
     session_reports(events, dims).write.parquet(path)
     return spark.read.parquet(path)
@@ -123,12 +123,9 @@ def session_summary(spark: SparkSession, events: DataFrame) -> DataFrame:
 
 def ga4_half_from_summary(spec: ReportSpec, summary: DataFrame) -> DataFrame:
     """Same rows as ``ga4_half`` for a session report."""
-    if spec.event_field:
-        wanted = F.col("dimension") == spec.event_field.replace(".", "_")
-    else:
-        wanted = F.col("dimension").isNull()
+    kind = _summary_name(spec.event_field) if spec.event_field else TOTAL
     dims = [F.col("value").alias(spec.dim)] if spec.dim else []
-    return summary.where(wanted).select(
+    return summary.where(F.col("dimension") == kind).select(
         "date",
         *dims,
         "sessions",
@@ -162,6 +159,10 @@ def refresh_all(
     return written
 
 
+def _summary_name(event_field: str) -> str:
+    return event_field.replace(".", "_")
+
+
 def _store(spec: ReportSpec, report: DataFrame, table: str | None) -> str:
     table = table or spec.output_table
     replace_table(for_writing(report, spec.keys), table)

@@ -206,7 +206,7 @@ def _all_session_reports() -> str:
     for name in ("traffic", "campaign", "sources", "device"):
         dim, field, label, _ = SESSION_REPORTS[name]
         one = _with(_session_ctes(dim, field), _session_select(dim, label))
-        kind = f"'{dim}'" if dim else "CAST(NULL AS VARCHAR)"
+        kind = f"'{dim or 'total'}'"
         value = dim or "CAST(NULL AS VARCHAR)"
         branches.append(
             f"SELECT {kind} AS dimension, {value} AS value, date, sessions,"
