@@ -8,16 +8,21 @@ from pyspark.sql import DataFrame
 def replace_table(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     """Write ``df`` as ``table``, replacing what was there.
 
-    The rows go to a staging table first. A build that fails, for example on an
-    unreadable history value, leaves the old table as it was, and ``df`` may
-    itself read the table it replaces.
+    The rows go to a staging table, and the tables trade names once it is
+    complete. A build that fails, for example on an unreadable history value,
+    leaves the old table as it was, and ``df`` may itself read that table.
     """
     spark = df.sparkSession
-    staging = f"{table}__staging_{uuid.uuid4().hex[:12]}"
+    run = uuid.uuid4().hex[:12]
+    staging, retired = f"{table}__staging_{run}", f"{table}__retired_{run}"
     try:
         df.write.format(fmt).mode("errorifexists").saveAsTable(staging)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    replaces = spark.catalog.tableExists(table)
+    if replaces:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {retired}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    if replaces:
+        spark.sql(f"DROP TABLE {retired}")

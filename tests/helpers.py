@@ -1,0 +1,110 @@
+"""Event tables for tests, a plain-Python report to compare with, plan text."""
+
+import random
+from collections import Counter, defaultdict
+from datetime import datetime
+
+from pyspark.sql import types as T
+
+EVENT_ROW = T.StructType(
+    [
+        T.StructField("event_date", T.StringType()),
+        T.StructField("event_name", T.StringType()),
+        T.StructField("event_bundle_sequence_id", T.LongType()),
+        T.StructField(
+            "traffic_source",
+            T.StructType(
+                [
+                    T.StructField("name", T.StringType()),
+                    T.StructField("source", T.StringType()),
+                ]
+            ),
+        ),
+        T.StructField(
+            "device",
+            T.StructType(
+                [
+                    T.StructField("category", T.StringType()),
+                    T.StructField("operating_system", T.StringType()),
+                ]
+            ),
+        ),
+        T.StructField(
+            "items",
+            T.ArrayType(
+                T.StructType(
+                    [
+                        T.StructField("item_name", T.StringType()),
+                        T.StructField("quantity", T.LongType()),
+                    ]
+                )
+            ),
+        ),
+    ]
+)
+
+
+def event(day, name, session, value=None, system=None, items=None):
+    """One event row; ``value`` is its campaign, source and device alike."""
+    return (day, name, session, (value, value), (value, system), items)
+
+
+def event_table(spark, rows):
+    return spark.createDataFrame(rows, EVENT_ROW)
+
+
+def random_rows(count=1500, seed=7, hot_share=0.0):
+    """Rows with NULLs everywhere; a share of them falls on one hot key."""
+    pick = random.Random(seed)
+    rows = []
+    for _ in range(count):
+        hot = pick.random() < hot_share
+        rows.append(
+            event(
+                "20240101" if hot else pick.choice([None, "20240101", "20240102"]),
+                pick.choice(
+                    ["session_start", "page_view", "user_engagement", "purchase", None]
+                ),
+                None if hot else pick.choice([None, 1, 2, 3]),
+                "c0" if hot else pick.choice([None, *[f"c{i}" for i in range(150)]]),
+                pick.choice([None, "os_0", "os_1"]),
+            )
+        )
+    return rows
+
+
+def expected_report(rows, with_value=True):
+    """Rows (date[, value], sessions, pageviews, bounce rate) by brute force."""
+    starts, views, visits = Counter(), Counter(), defaultdict(Counter)
+    for day, name, session, (value, _), _, _ in rows:
+        date = datetime.strptime(day, "%Y%m%d").date() if day else None
+        key = (date, value) if with_value else (date,)
+        if name == "session_start":
+            starts[key] += 1
+        if name == "page_view":
+            views[key] += 1
+        if name in ("page_view", "user_engagement"):
+            visits[(key, session)][name] += 1
+    seen, bounced = Counter(), Counter()
+    for (key, _), counts in visits.items():
+        seen[key] += 1
+        bounced[key] += counts == {"page_view": 1}
+    out = set()
+    for key, sessions in starts.items():
+        if None in key or not seen[key]:
+            out.add((*key, sessions, 0 if None in key else views[key], 0.0))
+        else:
+            rate = bounced[key] / seen[key] * 100
+            out.add((*key, sessions, views[key], rate))
+    return out
+
+
+def plan_of(df):
+    """The physical plan as planned, before any of it has run."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def as_set(df):
+    rows = [tuple(row) for row in df.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)

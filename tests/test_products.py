@@ -1,0 +1,78 @@
+from datetime import date
+
+from erabridge.operators.events import (
+    PRODUCT_EVENTS,
+    only_events,
+    unnest_items,
+    with_event_flags,
+)
+from erabridge.operators.products import product_report
+from helpers import as_set, event, event_table
+
+D1 = date(2024, 1, 1)
+
+
+def bought(session, items, day="20240101", name="purchase"):
+    return event(day, name, session, items=items)
+
+
+def test_distinct_buyers_and_items_sold(spark):
+    events = event_table(
+        spark,
+        [
+            bought(1, [("mug", 2), ("cap", None)]),
+            bought(1, [("mug", 1)]),
+            bought(2, [("mug", None), ("cap", None)]),
+            bought(None, [("mug", 5)]),
+            bought(3, [(None, 1)]),
+            bought(4, []),
+            bought(5, None),
+            bought(6, [("mug", 9)], name="page_view"),
+            bought(7, [("cap", 4)], day=None),
+        ],
+    )
+    # A missing id is no buyer; quantities all missing sum to NULL, not 0.
+    assert as_set(product_report(events)) == {
+        (D1, "mug", 2, 8, "GA4"),
+        (D1, "cap", 2, None, "GA4"),
+        (D1, None, 1, 1, "GA4"),
+        (None, "cap", 1, 4, "GA4"),
+    }
+
+
+def test_unnesting_keeps_duplicates_and_null_items(spark):
+    events = event_table(
+        spark,
+        [
+            bought(1, [("mug", 1), ("mug", 1), None]),
+            bought(2, []),
+            bought(3, None),
+        ],
+    )
+    rows = unnest_items(only_events(events, PRODUCT_EVENTS)).collect()
+    assert sorted(map(tuple, rows), key=str) == [
+        ("20240101", 1, "mug", 1),
+        ("20240101", 1, "mug", 1),
+        ("20240101", 1, None, None),
+    ]
+
+
+def test_flags_are_zero_for_missing_names(spark):
+    events = event_table(
+        spark, [event("20240101", n, 1) for n in ("page_view", "purchase", None)]
+    )
+    flags = with_event_flags(events).select(
+        "event_name", "is_page_view", "is_session_start", "is_purchase"
+    )
+    assert as_set(flags) == {
+        ("page_view", 1, 0, 0),
+        ("purchase", 0, 0, 1),
+        (None, 0, 0, 0),
+    }
+
+
+def test_best_seller_and_repeat_buyer(spark):
+    rows = [bought(i % 50, [("mug", 1)]) for i in range(3000)]
+    rows += [bought(7, [("cap", 1)]) for _ in range(3000)]
+    report = product_report(event_table(spark, rows).repartition(8))
+    assert as_set(report) == {(D1, "mug", 50, 3000, "GA4"), (D1, "cap", 1, 3000, "GA4")}
