@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+TASK = "_task"
+
 
 def union_eras(recent: DataFrame, history: DataFrame) -> DataFrame:
     """All rows of both, duplicates kept; BIGINT beside DOUBLE becomes DOUBLE."""
@@ -12,11 +14,17 @@ def union_eras(recent: DataFrame, history: DataFrame) -> DataFrame:
 def ordered(report: DataFrame, keys: list[str]) -> DataFrame:
     """Rows sorted by ``keys``, NULLs first.
 
-    The remaining columns break ties. That makes the order repeatable and lets
-    the range shuffle split a day that holds much of the table.
+    The remaining columns break ties, which lets the range shuffle split a day
+    that holds much of the table. Last comes the number of the task a row comes
+    from, to split copies of one row: it does not depend on the order in which
+    the task meets its rows, so a rerun task sends each row where it went before.
     """
     rest = [name for name in report.columns if name not in keys]
-    return report.orderBy(*keys, *rest)
+    return (
+        report.withColumn(TASK, F.spark_partition_id())
+        .orderBy(*keys, *rest, TASK)
+        .drop(TASK)
+    )
 
 
 def for_writing(report: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from erabridge import REPORTS, build_report, ga4_half, refresh_all, ua_half, write_report
-from erabridge.operators.layout import for_writing
+from erabridge.operators.layout import for_writing, ordered
 from erabridge.sources.sink import replace_table
 from helpers import as_set
 from workload.adapters import event_rows, history_rows
@@ -146,3 +146,23 @@ def test_hot_day_of_equal_rows_is_written_by_several_tasks(spark):
         assert len(table.inputFiles()) > 2
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_copies_of_one_row_are_sorted_by_several_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = F.col("id") % 2 == 0
+        day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 31).cast("int"))
+        rows = spark.range(0, 24000, 1, 12).select(
+            F.when(hot, F.lit("2024-01-15").cast("date")).otherwise(day).alias("date"),
+            F.when(hot, 0).otherwise(F.col("id")).alias("sessions"),
+        )
+        result = ordered(rows, ["date"])
+        assert result.columns == ["date", "sessions"]
+        parts = result.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(p["count"] for p in parts) == 24000
+        assert max(p["count"] for p in parts) < 9000
+        dates = [row.date for row in result.collect()]
+        assert dates == sorted(dates)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
