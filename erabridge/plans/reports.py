@@ -99,10 +99,11 @@ def write_report(
     events: DataFrame,
     history: DataFrame,
     table: str | None = None,
+    location: str | None = None,
 ) -> str:
     """Build one report and replace its table; returns the table's name."""
     report = build_report(spec, events, history, in_order=False)
-    return _store(spec, report, table)
+    return _store(spec, report, table, location)
 
 
 def session_summary(spark: SparkSession, events: DataFrame) -> DataFrame:
@@ -140,11 +141,13 @@ def refresh_all(
     events: DataFrame,
     histories: Mapping[str, DataFrame],
     tables: Mapping[str, str] | None = None,
+    location: str | None = None,
 ) -> dict[str, str]:
     """Replace all six tables with two scans of the events.
 
     ``histories`` maps report names to history tables. ``tables`` may rename
-    outputs. Returns the table name of each report.
+    outputs, ``location`` is as in ``replace_table``. Returns the table name of
+    each report.
     """
     tables = tables or {}
     summary = session_summary(spark, events)
@@ -155,7 +158,7 @@ def refresh_all(
         else:
             recent = ga4_half_from_summary(spec, summary)
         report = union_eras(recent, ua_half(spec, histories[name]))
-        written[name] = _store(spec, report, tables.get(name))
+        written[name] = _store(spec, report, tables.get(name), location)
     return written
 
 
@@ -163,7 +166,9 @@ def _summary_name(event_field: str) -> str:
     return event_field.replace(".", "_")
 
 
-def _store(spec: ReportSpec, report: DataFrame, table: str | None) -> str:
+def _store(
+    spec: ReportSpec, report: DataFrame, table: str | None, location: str | None
+) -> str:
     table = table or spec.output_table
-    replace_table(for_writing(report, spec.keys), table)
+    replace_table(for_writing(report, spec.keys), table, location)
     return table

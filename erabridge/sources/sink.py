@@ -5,18 +5,27 @@ import uuid
 from pyspark.sql import DataFrame
 
 
-def replace_table(df: DataFrame, table: str, fmt: str = "parquet") -> None:
+def replace_table(
+    df: DataFrame, table: str, location: str | None = None, fmt: str = "parquet"
+) -> None:
     """Write ``df`` as ``table``, replacing what was there.
 
     The rows go to a staging table, and the tables trade names once it is
     complete. A build that fails, for example on an unreadable history value,
     leaves the old table as it was, and ``df`` may itself read that table.
+
+    Files go to the session's warehouse or, with ``location``, to a new folder
+    under it. The second way suits object stores: trading names then moves no
+    files, and those of the old table stay for whoever still reads them.
     """
     spark = df.sparkSession
     run = uuid.uuid4().hex[:12]
     staging, retired = f"{table}__staging_{run}", f"{table}__retired_{run}"
+    writer = df.write.format(fmt).mode("errorifexists")
+    if location is not None:
+        writer = writer.option("path", f"{location.rstrip('/')}/{staging}")
     try:
-        df.write.format(fmt).mode("errorifexists").saveAsTable(staging)
+        writer.saveAsTable(staging)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
         raise

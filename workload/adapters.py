@@ -51,17 +51,19 @@ def event_rows(
     raw = read_event_shards(spark, sf_dir, "events*", EVENTS_TABLE)
     if names is not None:
         raw = raw.where(F.col("event_type").isin(*_stored_names(names)))
+    # A column of its own, so that each row's text is searched only once.
+    raw = raw.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     return raw.select(
         _compact_day(F.col("ts")).alias("event_date"),
         _event_name(F.col("event_type")).alias("event_name"),
         F.col("user_id").alias("event_bundle_sequence_id"),
         F.struct(
-            _numbered("camp_", _k() % 5).alias("name"),
+            _numbered("camp_", F.col("k") % 5).alias("name"),
             _numbered("src_", F.col("user_id") % 7).alias("source"),
         ).alias("traffic_source"),
         F.struct(
             _device(F.col("user_id")).alias("category"),
-            F.concat(F.lit("os_"), (_k() % 2).cast("string")).alias(
+            F.concat(F.lit("os_"), (F.col("k") % 2).cast("string")).alias(
                 "operating_system"
             ),
         ).alias("device"),
@@ -111,10 +113,6 @@ def _compact_day(ts: Column) -> Column:
     return F.replace(ts.cast("date").cast("string"), F.lit("-"), F.lit(""))
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
-
-
 def _numbered(prefix: str, number: Column) -> Column:
     return F.when(number != 0, F.concat(F.lit(prefix), number.cast("string")))
 

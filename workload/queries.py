@@ -36,6 +36,7 @@ from erabridge.plans.reports import (
     ua_half,
     write_report,
 )
+from erabridge.sources.shared import shared_folder
 from workload.adapters import event_rows, history_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +105,7 @@ def sink_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         event_rows(spark, sf_dir, _names(spec)),
         history_rows(spark, sf_dir),
         table,
+        location=shared_folder(spark),
     )
     return spark.table(table)
 
