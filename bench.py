@@ -33,7 +33,7 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 COPIES = int(os.environ.get("BENCH_COPIES", "0"))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
-SHUFFLE_BYTES_PER_EVENT = 40
+SHUFFLE_BYTES_PER_EVENT = 160
 
 
 def session() -> SparkSession:

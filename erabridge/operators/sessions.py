@@ -55,13 +55,13 @@ def event_counts(
 def session_counts(
     events: DataFrame, dim: str | None = None, path: str | None = None
 ) -> DataFrame:
-    return event_counts(events, SESSION_START, "total_sessions", dim, path)
+    return event_counts(events, SESSION_START, "sessions", dim, path)
 
 
 def pageview_counts(
     events: DataFrame, dim: str | None = None, path: str | None = None
 ) -> DataFrame:
-    return event_counts(events, PAGE_VIEW, "total_pageviews", dim, path)
+    return event_counts(events, PAGE_VIEW, "pageviews", dim, path)
 
 
 def session_metrics(
@@ -70,16 +70,15 @@ def session_metrics(
     """Page views and engagements of each session."""
     rows = dated(only_events(events, BOUNCE_EVENTS), dim, path)
     return rows.groupBy("date", "session_id", *_keys(dim)[1:]).agg(
-        F.count_if(is_event(PAGE_VIEW)).alias("page_views_per_session"),
-        F.count_if(is_event(USER_ENGAGEMENT)).alias("engagement_events"),
+        F.count_if(is_event(PAGE_VIEW)).alias("views"),
+        F.count_if(is_event(USER_ENGAGEMENT)).alias("engagements"),
     )
 
 
 def bounce_rates(metrics: DataFrame, dim: str | None = None) -> DataFrame:
     """Share of bounced sessions per day and dimension value."""
-    bounced = _bounced("page_views_per_session", "engagement_events")
     return metrics.groupBy(*_keys(dim)).agg(
-        (F.count_if(bounced) / F.count("*")).alias("bounce_rate")
+        (F.count_if(_bounced()) / F.count("*")).alias("bounce_rate")
     )
 
 
@@ -101,8 +100,8 @@ def session_report_by_joins(
     joined = sessions.join(views, keys, "left").join(bounces, keys, "left")
     return joined.select(
         *keys,
-        F.col("total_sessions").alias("sessions"),
-        F.coalesce("total_pageviews", F.lit(0)).alias("pageviews"),
+        "sessions",
+        F.coalesce("pageviews", F.lit(0)).alias("pageviews"),
         (F.coalesce("bounce_rate", F.lit(0)) * F.lit(100)).alias("bounce_rate"),
         F.lit("GA4").alias(label),
     )
@@ -156,8 +155,8 @@ def _keys(dim: str | None) -> list[str]:
     return ["date", dim] if dim else ["date"]
 
 
-def _bounced(views: str, engagements: str) -> Column:
-    return (F.col(views) == 1) & (F.col(engagements) == 0)
+def _bounced() -> Column:
+    return (F.col("views") == 1) & (F.col("engagements") == 0)
 
 
 def _session_totals(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -184,7 +183,7 @@ def _daily_totals(sessions: DataFrame, keys: list[str]) -> DataFrame:
     return sessions.groupBy(*keys).agg(
         F.sum("starts").alias("sessions"),
         F.sum("views").alias("pageviews"),
-        F.count_if(_bounced("views", "engagements")).alias("bounced"),
+        F.count_if(_bounced()).alias("bounced"),
         F.count_if(active).alias("active"),
     )
 

@@ -14,10 +14,11 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session, where driver and executors are one process, may go
     without the setting; it gets a folder of its own.
     """
+    folder = spark.conf.get(SETTING, None)
+    if folder:
+        return folder.rstrip("/")
     context = spark.sparkContext
-    folder = spark.conf.get(SETTING, None) or context.getConf().get(SETTING)
-    if not folder:
-        folder = context.getCheckpointDir()
+    folder = context.getConf().get(SETTING) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {SETTING} to a folder all executors share")

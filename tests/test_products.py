@@ -1,4 +1,8 @@
-from datetime import date
+from collections import defaultdict
+from datetime import date, datetime
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from erabridge.operators.events import (
     PRODUCT_EVENTS,
@@ -76,3 +80,45 @@ def test_best_seller_and_repeat_buyer(spark):
     rows += [bought(7, [("cap", 1)]) for _ in range(3000)]
     report = product_report(event_table(spark, rows).repartition(8))
     assert as_set(report) == {(D1, "mug", 50, 3000, "GA4"), (D1, "cap", 1, 3000, "GA4")}
+
+
+ITEM = st.tuples(
+    st.sampled_from([None, "", "mug", "cap"]), st.sampled_from([None, 0, 1, 5])
+)
+PURCHASES = st.lists(
+    st.builds(
+        event,
+        st.sampled_from([None, "20240101", "20240102"]),
+        st.sampled_from([None, "purchase", "purchase", "page_view"]),
+        st.sampled_from([None, 1, 2, 3]),
+        items=st.none() | st.lists(st.none() | ITEM, max_size=3),
+    ),
+    max_size=25,
+)
+
+
+def expected_products(rows):
+    buyers, amounts = defaultdict(set), defaultdict(list)
+    for day, name, session, _, _, items in rows:
+        if name != "purchase":
+            continue
+        on = datetime.strptime(day, "%Y%m%d").date() if day else None
+        for product, quantity in (i or (None, None) for i in items or []):
+            buyers[on, product].add(session)
+            amounts[on, product].append(quantity)
+    out = set()
+    for key, quantities in amounts.items():
+        known = [q for q in quantities if q is not None]
+        total = sum(known) if known else None
+        out.add((*key, len(buyers[key] - {None}), total, "GA4"))
+    return out
+
+
+@settings(
+    max_examples=25,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(rows=PURCHASES)
+def test_report_equals_brute_force(spark, rows):
+    assert as_set(product_report(event_table(spark, rows))) == expected_products(rows)

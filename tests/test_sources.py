@@ -1,7 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from erabridge import REPORTS, ga4_half
 from erabridge.schema import EVENT_SCHEMA
+from erabridge.session import settings_for
 from erabridge.sources.events import (
     DAILY_SHARDS,
     read_event_shards,
@@ -76,3 +79,58 @@ def test_history_by_table_or_path(spark, tmp_path):
 def test_shared_folder_is_the_sessions(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_days_stored_as_numbers_give_the_same_report(spark, tmp_path):
+    events = event_table(
+        spark,
+        [event("20240101", n, 1, "a") for n in ("session_start", "page_view")],
+    )
+    events.withColumn("event_date", F.col("event_date").cast("bigint")).write.parquet(
+        f"{tmp_path}/events_20240101"
+    )
+    fields = [
+        T.StructField("event_date", T.LongType()) if f.name == "event_date" else f
+        for f in EVENT_SCHEMA
+    ]
+    stored = read_event_shards(spark, str(tmp_path), schema=T.StructType(fields))
+    spec = REPORTS["campaign"]
+    assert ga4_half(spec, stored).collect() == ga4_half(spec, events).collect()
+
+
+def test_shards_in_another_format(spark, tmp_path):
+    rows = [event("20240101", "purchase", 1, "a", items=[("mug", 2)])]
+    event_table(spark, rows).write.json(f"{tmp_path}/events_20240101")
+    events = read_event_shards(spark, str(tmp_path), fmt="json")
+    assert events.first()["items"][0]["item_name"] == "mug"
+
+
+class FakeSession:
+    """A session on a cluster, without the shared folder set."""
+
+    class sparkContext:
+        master = "yarn"
+
+        @staticmethod
+        def getConf():
+            return {}
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class conf:
+        @staticmethod
+        def get(key, default):
+            return default
+
+
+def test_a_cluster_session_must_name_the_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(FakeSession())
+
+
+def test_shuffle_partitions_grow_with_the_job():
+    small, large = settings_for(10**6, 8), settings_for(10**13, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert int(large["spark.sql.shuffle.partitions"]) > 70_000

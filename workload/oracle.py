@@ -105,15 +105,15 @@ def _visits(dim: str | None, field: str | None) -> str:
     return f"""
   SELECT
     {_list(f'{DAY} AS date', 'session_id', picked)},
-    count(*) FILTER (WHERE event_name = 'page_view') AS page_views_per_session,
-    count(*) FILTER (WHERE event_name = 'user_engagement') AS engagement_events
+    count(*) FILTER (WHERE event_name = 'page_view') AS views,
+    count(*) FILTER (WHERE event_name = 'user_engagement') AS engagements
   FROM ga4
   WHERE event_name = 'page_view' OR event_name = 'user_engagement'
   GROUP BY ALL"""
 
 
 def _rates(dim: str | None) -> str:
-    bounced = "page_views_per_session = 1 AND engagement_events = 0"
+    bounced = "views = 1 AND engagements = 0"
     return f"""
   SELECT
     {_list('date', dim)},
@@ -272,13 +272,13 @@ FROM (SELECT * FROM ga4 WHERE event_name = 'purchase') AS p,
         "session_counts": _with(
             EVENTS,
             f"""
-SELECT date, campaign, total AS total_sessions
+SELECT date, campaign, total AS sessions
 FROM ({_count_of('session_start', *campaign)})""",
         ),
         "pageview_counts": _with(
             EVENTS,
             f"""
-SELECT date, campaign, total AS total_pageviews
+SELECT date, campaign, total AS pageviews
 FROM ({_count_of('page_view', *campaign)})""",
         ),
         "coalesce_zero": _with(

@@ -181,7 +181,7 @@ def coalesce_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.join(views, ["date", "campaign"], "left").select(
         "date",
         "campaign",
-        F.coalesce("total_pageviews", F.lit(0)).alias("pageviews"),
+        F.coalesce("pageviews", F.lit(0)).alias("pageviews"),
     )
 
 
