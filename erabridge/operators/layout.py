@@ -11,20 +11,24 @@ def union_eras(recent: DataFrame, history: DataFrame) -> DataFrame:
     return recent.unionByName(history)
 
 
-def ordered(report: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows sorted by ``keys``, NULLs first.
+def ordered_union(
+    recent: DataFrame, history: DataFrame, keys: list[str]
+) -> DataFrame:
+    """``union_eras``, sorted by ``keys``, NULLs first.
 
     The remaining columns break ties, which lets the range shuffle split a day
-    that holds much of the table. Last comes the number of the task a row comes
-    from, to split copies of one row: it does not depend on the order in which
-    the task meets its rows, so a rerun task sends each row where it went before.
+    that holds much of the table. The history may hold copies of one row, which
+    the number of their source task splits in turn. It does not depend on the
+    order in which a task meets its rows, so a rerun task sends each row where
+    it went before. ``recent`` has one row per key and needs none, which also
+    keeps the way free for a filter on the report to reach the events.
     """
-    rest = [name for name in report.columns if name not in keys]
-    return (
-        report.withColumn(TASK, F.spark_partition_id())
-        .orderBy(*keys, *rest, TASK)
-        .drop(TASK)
+    rest = [name for name in recent.columns if name not in keys]
+    report = union_eras(
+        recent.withColumn(TASK, F.lit(0)),
+        history.withColumn(TASK, F.spark_partition_id()),
     )
+    return report.orderBy(*keys, *rest, TASK).drop(TASK)
 
 
 def for_writing(report: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from erabridge.operators.history import (
     clean_product_history,
     clean_session_history,
 )
-from erabridge.operators.layout import for_writing, ordered, union_eras
+from erabridge.operators.layout import for_writing, ordered_union, union_eras
 from erabridge.operators.products import product_report
 from erabridge.operators.sessions import TOTAL, session_report, session_reports
 from erabridge.sources.shared import fresh_path
@@ -90,8 +90,10 @@ def build_report(
     in_order: bool = True,
 ) -> DataFrame:
     """Both halves as one table, by default sorted by date and dimension."""
-    report = union_eras(ga4_half(spec, events), ua_half(spec, history))
-    return ordered(report, spec.keys) if in_order else report
+    recent, older = ga4_half(spec, events), ua_half(spec, history)
+    if in_order:
+        return ordered_union(recent, older, spec.keys)
+    return union_eras(recent, older)
 
 
 def write_report(

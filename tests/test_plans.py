@@ -5,7 +5,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from erabridge import REPORTS, ga4_half, read_partitioned_events, ua_half
+from erabridge import (
+    REPORTS,
+    build_report,
+    ga4_half,
+    read_partitioned_events,
+    ua_half,
+)
 from erabridge.operators.sessions import session_report_by_joins, session_reports
 from helpers import event, event_table, plan_of
 from workload.adapters import event_rows, history_rows
@@ -90,6 +96,16 @@ def test_day_filter_reaches_the_partitions(spark, wide_events):
     assert "PartitionFilters: [isnotnull(event_date" in plan_of(recent)
 
 
+@pytest.mark.parametrize("name", REPORTS)
+def test_day_filter_on_a_sorted_report_skips_event_folders(
+    spark, wide_events, sf_dir, name
+):
+    events = read_partitioned_events(spark, wide_events)
+    report = build_report(REPORTS[name], events, history_rows(spark, sf_dir))
+    plan = plan_of(report.where("date >= date'2024-01-01'"))
+    assert re.search(r"PartitionFilters: \[.{0,20}coalesce\(.*event_date#\d+", plan)
+
+
 def test_no_query_leaves_the_jvm_or_pairs_rows(spark, sf_dir):
     for name, query in QUERIES.items():
         if name == "sink_replace_table":
