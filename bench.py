@@ -54,7 +54,8 @@ def session() -> SparkSession:
 
 def stored_copies(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/events"
-    session_id = F.col("event_bundle_sequence_id") + F.col("copy").cast("bigint") * 10**9
+    apart = F.col("copy").cast("bigint") * 10**9
+    session_id = F.col("event_bundle_sequence_id") + apart
     (
         event_rows(spark, SF_DIR)
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(COPIES))))
