@@ -44,8 +44,8 @@ class ReportSpec:
         return f"{self.name}_ua_ga4"
 
 
-# Dimensions, label columns and bounce scales. The scales differ
-# on purpose: each history was exported in its own unit.
+# Dimensions, label columns and bounce scales. That the scales
+# differ is part of the reports' definition.
 REPORTS = {
     spec.name: spec
     for spec in (
