@@ -56,7 +56,8 @@ def test_bounce_text(spark, either_ansi, text, value):
 
 
 @pytest.mark.parametrize(
-    "text", ["45%", "45,3%", "<0,01%", "1,234.5", ".", ",", "<", "<0.01%%", "1<0.01%2.3"]
+    "text",
+    ["45%", "45,3%", "<0,01%", "1,234.5", ".", ",", "<", "<0.01%%", "1<0.01%2.3"],
 )
 def test_bad_bounce_text_raises(spark, either_ansi, text):
     with pytest.raises(Exception):
