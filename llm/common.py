@@ -43,3 +43,20 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, name: str, kept_out: Column, rows: int
+) -> DataFrame:
+    """(text, label) of at most ``rows`` labelled rows that ``kept_out`` doesn't hold.
+
+    Ids are taken in order of a hash, so a sample is the same at every run; an id
+    with two labels has the larger. As the sample is bounded, it is broadcast.
+    """
+    known = labels.where(F.col(name).isNotNull() & F.col("doc_id").isNotNull() & ~kept_out)
+    known = known.groupBy(F.col("doc_id").cast("long").alias("_labelled"))
+    known = known.agg(F.max(F.col(name).cast("int")).alias("_label"))
+    known = known.orderBy(F.xxhash64("_labelled"), "_labelled").limit(rows)
+    same = F.col("doc_id").cast("long") == F.col("_labelled")
+    found = docs.select("doc_id", "text").join(F.broadcast(known), same)
+    return found.select("text", F.col("_label").alias("label"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import fingerprints, packing, simhash
-from llm.common import table
+from llm import fingerprints, licenses, packing, quality, simhash, toxicity, urls
+from llm.common import held_out, table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,11 +15,54 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(docs, labels, out)
+    score = F.col("toxicity").alias("score")
+    predicted = (F.col("toxicity") >= 0.5).cast("int").alias("predicted")
+    found = toxicity.scored(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", out.alias("held_out"), score, predicted)
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = F.col("licenses")
+    base, starts = found["base_labels"], found["base_starts"]
+    every = F.concat(base, found["labels"])
+    joined = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
+    return licenses.scan(docs).select(
+        "doc_id",
+        found["n_words"].alias("n_words"),
+        F.size(starts).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(every).alias("labels"),
+        found["score"].alias("score"),
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, packing.vocabulary_path())
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = held_out(F.col("doc_id"), 3, 1)
+    model = quality.fit(docs, labels, out)
+    score = F.col("quality_score").alias("score")
+    predicted = (F.col("quality_score") >= 0.5).cast("int").alias("predicted")
+    found = quality.scored(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", out.alias("held_out"), score, predicted)
+
+
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "chance")
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = fingerprints.with_next(table(spark, sf_dir, "documents"))
     docs = docs.withColumn("edited", fingerprints.edited(F.col("text"), F.col("next_text")))
@@ -40,7 +83,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_toxicity": op2_toxicity,
+    "op3_licenses": op3_licenses,
     "op6_packing": op6_packing,
+    "op7_quality": op7_quality,
+    "op9_urls": op9_urls,
     "op10_fingerprints": op10_fingerprints,
 }
 
