@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from struct import pack as packed_ids
 from zlib import crc32
 
 import pyarrow as pa
@@ -16,32 +17,73 @@ from llm.common import partitions, stored
 CAPACITY = 4096
 END_ID = 1
 ID_BYTES = 4
-#: Words whose ids a task remembers; the rest are encoded anew.
-CACHED_WORDS = 400_000
+#: Words whose ids a task remembers, and texts that it takes at a time.
+CACHED_WORDS = 800_000
+TEXTS = 500
+
+#: Marks that end words: neither letters, digits nor blanks.
+MARKS = ".,;:!?%&*$#|()[]{}\"'-+=/<>~^_`@\\"
+#: Below it, lower case and composition are the same everywhere.
+PLAIN = "\u0130"
+#: How byte-level vocabularies show bytes that have no sign of their own.
+SHOWN = {
+    byte: 256 + i
+    for i, byte in enumerate([*range(33), *range(127, 161), 173])
+}
 #: Ranks that a planned range is joined by.
 RANKS = 64
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def word_ids(tokenizer, texts: list[str], cache: dict[str, bytes]) -> Iterator[bytes]:
-    """Each text's ids as little-endian numbers of four bytes.
+class WordIds:
+    """The ids of texts, from those of their words between blanks.
 
-    The vocabulary's ids of a text are those of its words between blanks, one after
-    the other: its splitting rule, its special tokens and its normaliser never see
-    beyond a blank, which they drop. So each distinct word is encoded once.
+    The vocabulary's splitting rule, special tokens and normaliser never see beyond
+    a blank or line end, which they drop, so a text's ids are those of its words one after the
+    other, and each distinct word is encoded once. Letters form a run of their own,
+    and so do marks behind them; plain letters go to the vocabulary's model at once,
+    anything else through all of the tokenizer.
     """
-    for text in texts:
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        new = [w for w in set(words) if w not in cache]
-        if len(cache) + len(new) > CACHED_WORDS:
-            cache.clear()
-            new = list(set(words))
-        for word, found in zip(
-            new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True
-        ):
-            cache[word] = b"".join(i.to_bytes(ID_BYTES, "little") for i in found.ids)
-        yield b"".join(map(cache.__getitem__, words))
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.words: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {"": b""}
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Each text's ids as little-endian numbers of four bytes."""
+        for at in range(0, len(texts), TEXTS):
+            split = [x.replace("\n", " ").split(" ") for x in texts[at : at + TEXTS]]
+            new = set().union(*split).difference(self.words)
+            if len(self.words) + len(new) > CACHED_WORDS:
+                self.words.clear()
+                self.runs = {"": b""}
+                new = set().union(*split)
+            for word in new:
+                letters = word.rstrip(MARKS)
+                self.words[word] = (
+                    self._letters(letters.lower()) + self._any(word[len(letters) :])
+                    if letters.isalpha() and max(letters) < PLAIN
+                    else self._any(word)
+                )
+            for words in split:
+                yield b"".join(map(self.words.__getitem__, words))
+
+    def _letters(self, run: str) -> bytes:
+        found = self.runs.get(run)
+        if found is None:
+            shown = run if run.isascii() else run.encode().decode("latin-1").translate(SHOWN)
+            ids = [x.id for x in self.model.tokenize(shown)]
+            found = self.runs[run] = packed_ids(f"<{len(ids)}I", *ids)
+        return found
+
+    def _any(self, word: str) -> bytes:
+        found = self.runs.get(word)
+        if found is None:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            found = self.runs[word] = packed_ids(f"<{len(ids)}I", *ids)
+        return found
 
 
 def tokenised(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
@@ -57,14 +99,13 @@ def tokenised(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> Dat
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(vocabulary)
-        cache: dict[str, bytes] = {}
+        words = WordIds(Tokenizer.from_file(vocabulary))
         end = END_ID.to_bytes(ID_BYTES, "little")
         step = capacity * ID_BYTES
         for batch in batches:
             ids, rows = batch.column(0).to_pylist(), []
-            texts = (x or "" for x in batch.column(1).to_pylist())
-            for doc_id, packed in zip(ids, word_ids(tokenizer, texts, cache), strict=True):
+            texts = [x or "" for x in batch.column(1).to_pylist()]
+            for doc_id, packed in zip(ids, words.encode(texts), strict=True):
                 packed += end
                 for piece, at in enumerate(range(0, len(packed), step)):
                     own = packed[at : at + step]
