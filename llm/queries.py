@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import fingerprints, licenses, packing, quality, simhash, toxicity, urls
+from llm import (
+    decontamination,
+    fingerprints,
+    licenses,
+    packing,
+    pii,
+    quality,
+    simhash,
+    toxicity,
+    urls,
+)
 from llm.common import held_out, table
 
 
@@ -43,6 +53,18 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    leaks = decontamination.find(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "leaks")
+    items = F.array_sort(F.col("leaks.item_id"))
+    return leaks.select(
+        "doc_id",
+        (F.size("leaks") > 0).alias("contaminated"),
+        items.alias("item_ids"),
+        F.coalesce(F.array_max(F.col("leaks.common")), F.lit(0.0)).alias("common"),
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, packing.vocabulary_path())
@@ -58,6 +80,22 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), score, predicted)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, spans = F.col("pii.base"), F.col("pii.spans")
+
+    def number(kind: str):
+        found = F.filter(base, lambda x: F.startswith(x, F.lit(f"{kind}:")))
+        return F.size(found).cast("long").alias(f"n_{kind}")
+
+    return docs.select(
+        "doc_id",
+        *(number(kind) for kind in pii.BASE),
+        F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"),
+        F.array_join(spans, ",").alias("spans"),
+    )
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "chance")
@@ -85,8 +123,10 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
     "op3_licenses": op3_licenses,
+    "op4_decontamination": op4_decontamination,
     "op6_packing": op6_packing,
     "op7_quality": op7_quality,
+    "op8_pii": op8_pii,
     "op9_urls": op9_urls,
     "op10_fingerprints": op10_fingerprints,
 }
