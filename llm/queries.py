@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from llm import (
     decontamination,
     fingerprints,
+    lattice,
     licenses,
     packing,
     pii,
@@ -65,6 +66,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 7, 2)
+    return lattice.score(docs, ~out, out, lattice.vocabulary_path())
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, packing.vocabulary_path())
@@ -124,6 +131,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_licenses": op3_licenses,
     "op4_decontamination": op4_decontamination,
+    "op5_lattice": op5_lattice,
     "op6_packing": op6_packing,
     "op7_quality": op7_quality,
     "op8_pii": op8_pii,
