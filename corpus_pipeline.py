@@ -5,9 +5,22 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from llm import packing, simhash
-from llm.common import shared_folder, table
+from llm import decontamination, packing, pii, simhash, toxicity
+from llm.common import held_out, shared_folder, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score of one half or more go.
+
+    Labels are learned from as in the query of that operator; documents without a
+    label are judged all the same.
+    """
+    out = held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), out)
+    kept = toxicity.scored(docs, model).where("toxicity < 0.5")
+    return kept.select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,17 +28,38 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.keep_one(docs)
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark go."""
+    kept = decontamination.find(docs, table(spark, sf_dir, "benchmark")).where("size(leaks) = 0")
+    return kept.select(*docs.columns)
+
+
+def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind in brackets; n_chars follows the text."""
+    found = pii.find(docs)
+    hidden = F.when(F.col("text").isNotNull(), F.col("pii.masked"))
+    found = found.withColumn("text", hidden)
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("n_chars", length)
+    return found.select(*docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in sequences: see ``packing.pack``."""
     return packing.pack(docs, packing.vocabulary_path())
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_leaks),
+    ("pii", mask_pii),
     ("packing", pack),
 ]
 
-#: SQL can express neither fitted models nor hashing by numpy.
+#: SQL can express neither fitted models nor a vocabulary's ids; tests compare the
+#: stages with brute force.
 ORACLE_SQL = None
 
 
