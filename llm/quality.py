@@ -19,8 +19,8 @@ from llm.common import labelled_sample
 LABELLED_ROWS = 4_000
 BUCKETS = 1 << 16
 SIZE = 12
-GRAMS = (2, 3, 4)
-CACHED_WORDS = 300_000
+GRAMS = (2, 3)
+CACHED_WORDS = 600_000
 #: Stand beside a word that is the same as the one before, or the second before.
 ECHOES = ("= =1", "= =2")
 
@@ -29,11 +29,22 @@ def place(name: str) -> int:
     return crc32(name.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
-def features(word: str) -> list[int]:
-    """Hashed places of a word and of its n-grams, its ends marked."""
+def grams(word: str) -> list[str]:
+    """The n-grams of a word, its ends marked."""
     marked = f"<{word}>"
-    grams = (marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1))
-    return [place(x) for x in (word, *grams)]
+    return [marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)]
+
+
+def features(word: str) -> list[int]:
+    """Hashed places of a word and of its n-grams."""
+    return [place(x) for x in (word, *grams(word))]
+
+
+def feature_count(words: list[str]) -> int:
+    """How many features words have in all: of n-grams, none is longer than a sign
+    between its two marks, the shortest word, and one."""
+    letters = sum(map(len, words))
+    return len(words) + sum(letters + (3 - n) * len(words) for n in GRAMS)
 
 
 def echoes(words: list[str]) -> tuple[int, ...]:
@@ -70,20 +81,26 @@ class Classifier:
         shares = (self.vectors @ (self.output[:, 1] - self.output[:, 0])).tolist()
         bias = float(self.bias[1] - self.bias[0])
         echo = [shares[place(name)] for name in ECHOES]
-        cache: dict[str, tuple[float, int]] = {}
+        by_gram: dict[str, float] = {}
+        by_word: dict[str, float] = {}
+
+        def share(gram: str) -> float:
+            found = by_gram[gram] = shares[place(gram)]
+            return found
+
         for text in texts:
             words = (text or "").split()
+            new = set(words).difference(by_word)
+            if len(by_word) + len(new) > CACHED_WORDS:
+                by_word.clear()
+                by_gram.clear()
+                new = set(words)
+            for word in new:
+                own = [by_gram[x] if x in by_gram else share(x) for x in grams(word)]
+                by_word[word] = shares[place(word)] + sum(own)
             again = echoes(words)
-            total, n = sum(map(mul, again, echo)), sum(again)
-            for word in words:
-                found = cache.get(word)
-                if found is None:
-                    if len(cache) >= CACHED_WORDS:
-                        cache.clear()
-                    own = features(word)
-                    found = cache[word] = (sum(shares[i] for i in own), len(own))
-                total += found[0]
-                n += found[1]
+            total = sum(map(mul, again, echo)) + sum(map(by_word.__getitem__, words))
+            n = sum(again) + feature_count(words)
             odds = bias + (total / n if n else 0.0)
             yield 1 / (1 + float(np.exp(-min(max(odds, -30.0), 30.0))))
 
