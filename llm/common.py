@@ -41,6 +41,14 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(rest, F.lit(False))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as make it none of the columns'."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

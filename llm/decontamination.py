@@ -301,9 +301,8 @@ def _searched(space: Space) -> Column:
     return F.pandas_udf(search, "array<struct<item_id long, common double>>")("text")
 
 
-def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with an array column ``leaks`` (item_id, common), which replaces one of
-    that name.
+def leaks(docs: DataFrame, benchmark: DataFrame) -> Column:
+    """An array (item_id, common) for the column ``text`` of ``docs``.
 
     It has each item of ``benchmark`` (item_id, text) of whose words a text holds
     enough in order, with the share of them. Every text meets every item, in blocks
@@ -316,4 +315,4 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for items in blocks(benchmark):
         if items.ids:
             found.append(_searched(Space.fit(docs, items)))
-    return docs.withColumn("leaks", F.concat(*found))
+    return F.concat(*found)

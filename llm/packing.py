@@ -161,7 +161,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple]:
 
 
 def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (doc_id, piece, length, ...) with sequence_id and offset.
+    """``pieces`` with sequence_id and offset; columns but those of PIECES are left out.
 
     The histogram, of at most ``capacity`` lengths, is all that the driver sees. A
     piece's rank within its length is its number within a slice of that length plus
@@ -172,7 +172,8 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """
     spark = pieces.sparkSession
     slices = 4 * partitions(spark)
-    names = pieces.columns
+    names = [x.split()[0] for x in PIECES.split(", ")]
+    pieces = pieces.select(*names)
     cut = F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(slices))
     pieces = stored(pieces.withColumn("_slice", cut))
     sizes = stored(pieces.groupBy("length", "_slice").agg(F.count("*").alias("n")))

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Kinds of the fixed patterns, in their order, then the kinds of further spans.
@@ -276,8 +276,8 @@ def mask(text: str, spans: list[Span]) -> str:
     return "".join([*out, text[last:]])
 
 
-def find(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
-    """``docs`` with a struct column ``pii``, which replaces one of that name.
+def found(model: SpanModel) -> Column:
+    """A struct (base, spans, masked) for the column ``text``.
 
     base and spans hold ``kind:start:end`` by kind, then start, in code points with
     exclusive ends: spans of the fixed patterns, and these with the further ones.
@@ -285,7 +285,6 @@ def find(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
     Rows are searched one by one, so repeated rows, null ids and other columns make
     no difference; an empty table stays empty.
     """
-    model = model or fit(docs)
 
     def search(batches):
         known: dict[tuple, float] = {}
@@ -301,4 +300,4 @@ def find(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
             yield pd.DataFrame(rows, columns=["base", "spans", "masked"])
 
     search.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return docs.withColumn("pii", F.pandas_udf(search, FOUND)("text"))
+    return F.pandas_udf(search, FOUND)("text")

@@ -10,7 +10,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.common import labelled_sample
@@ -175,17 +175,17 @@ def fit(
     return train(pairs, np.array([int(r["label"] > 0) for r in found]))
 
 
-def scored(docs: DataFrame, classifier: Classifier) -> DataFrame:
-    """``docs`` with a column ``quality_score``, 0 to 1. It replaces one of that name.
+def score(spark: SparkSession, classifier: Classifier) -> Column:
+    """The score, 0 to 1, of the column ``text``.
 
     Each row is scored by its text alone: repeated rows, null ids and other columns
     make no difference; a null text is like an empty one.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(classifier)  # of a fixed size
+    sent = spark.sparkContext.broadcast(classifier)  # of a fixed size
 
-    def score(batches):
+    def of_texts(batches):
         for texts in batches:
             yield pd.Series(list(sent.value.scores(texts)), dtype="float64")
 
-    score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return docs.withColumn("quality_score", F.pandas_udf(score, "double")("text"))
+    of_texts.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(of_texts, "double")("text")

@@ -30,10 +30,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = held_out(F.col("doc_id"), 5, 0)
     model = toxicity.fit(docs, labels, out)
-    score = F.col("toxicity").alias("score")
-    predicted = (F.col("toxicity") >= 0.5).cast("int").alias("predicted")
-    found = toxicity.scored(docs.select("doc_id", "text"), model)
-    return found.select("doc_id", out.alias("held_out"), score, predicted)
+    score = toxicity.score(spark, model).alias("score")
+    found = docs.select("doc_id", out.alias("held_out"), score)
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,9 +55,9 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    leaks = decontamination.find(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "leaks")
+    found = decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))
     items = F.array_sort(F.col("leaks.item_id"))
-    return leaks.select(
+    return docs.select("doc_id", found.alias("leaks")).select(
         "doc_id",
         (F.size("leaks") > 0).alias("contaminated"),
         items.alias("item_ids"),
@@ -81,14 +80,14 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = held_out(F.col("doc_id"), 3, 1)
     model = quality.fit(docs, labels, out)
-    score = F.col("quality_score").alias("score")
-    predicted = (F.col("quality_score") >= 0.5).cast("int").alias("predicted")
-    found = quality.scored(docs.select("doc_id", "text"), model)
-    return found.select("doc_id", out.alias("held_out"), score, predicted)
+    score = quality.score(spark, model).alias("score")
+    found = docs.select("doc_id", out.alias("held_out"), score)
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", pii.found(pii.fit(docs)).alias("pii"))
     base, spans = F.col("pii.base"), F.col("pii.spans")
 
     def number(kind: str):

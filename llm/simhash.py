@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import stored
+from llm.common import free_name, stored
 from llm.components import components
 
 BITS = 64
@@ -76,8 +76,7 @@ def links(
     Hamming ball around that value is looked up there; of two segments the one with
     the smaller value asks, so each pair is found once a segment. Whole fingerprints
     are compared as part of the join. Buckets over ``large_bucket`` fingerprints
-    don't form pairs: see ``_links_by_cleared_bits``. At most one link is lost in
-    neither way.
+    don't form pairs: see ``_links_by_cleared_bits``. Neither way loses a link.
     """
     near = balls(parts, max_bits)
     own = [
@@ -135,7 +134,7 @@ def _links_by_cleared_bits(fps: DataFrame, max_bits: int) -> DataFrame:
 
 
 def groups(fingerprinted: DataFrame, max_bits: int = 2) -> DataFrame:
-    """(fp, root, doc_id, text_key) for each fingerprint: its group and that's first row.
+    """(fp, root, doc_id, text_key) for each fingerprint: its group and the group's first row.
 
     First is the smallest doc_id, null last, then the smallest text_key. Copies are
     one fingerprint here, so they form no links.
@@ -169,12 +168,10 @@ def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
     All columns stay as they are. Of rows with that id, the one with the smallest
     text hash stays; of equal rows, one.
     """
-    heads = groups(fingerprints(docs, words), max_bits)
-    heads = heads.select(
-        F.col("doc_id").alias("_head_id"), F.col("text_key").alias("_head_key")
-    ).distinct()
+    heads = groups(fingerprints(docs, words), max_bits).select("doc_id", "text_key").distinct()
+    own_id, own_key = free_name(docs, "own_id"), free_name(docs, "own_key")
     key = F.xxhash64(F.coalesce("text", F.lit("")))
-    marked = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": key})
-    same = F.col("_id").eqNullSafe(F.col("_head_id")) & (F.col("_key") == F.col("_head_key"))
+    marked = docs.withColumns({own_id: F.col("doc_id").cast("long"), own_key: key})
+    same = marked[own_id].eqNullSafe(heads["doc_id"]) & (marked[own_key] == heads["text_key"])
     kept = marked.join(heads, same, "left_semi")
-    return kept.dropDuplicates(["_id", "_key"]).drop("_id", "_key")
+    return kept.dropDuplicates([own_id, own_key]).drop(own_id, own_key)

@@ -192,7 +192,8 @@ def calibrated(seen: np.ndarray) -> tuple[float, float]:
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
-    """``pages`` (url, ...) with host, path, rule, difference, chance and verdict.
+    """``pages`` (url, ...) with host, path, rule, difference, chance and verdict, which
+    replace columns of these names.
 
     Where no rule fits, the models that the URLs under rules teach decide: a URL is
     allowed where its calibrated chance is one half or more. A null URL is like an
