@@ -19,8 +19,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     out = held_out(F.col("doc_id"), 5, 0)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), out)
-    kept = toxicity.scored(docs, model).where("toxicity < 0.5")
-    return kept.select(*docs.columns)
+    return docs.where(toxicity.score(spark, model) < 0.5)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,19 +29,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold an item of the benchmark go."""
-    kept = decontamination.find(docs, table(spark, sf_dir, "benchmark")).where("size(leaks) = 0")
-    return kept.select(*docs.columns)
+    return docs.where(F.size(decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))) == 0)
 
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind in brackets; n_chars follows the text."""
-    found = pii.find(docs)
-    hidden = F.when(F.col("text").isNotNull(), F.col("pii.masked"))
-    found = found.withColumn("text", hidden)
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        found = found.withColumn("n_chars", length)
-    return found.select(*docs.columns)
+    masked = pii.found(pii.fit(docs))["masked"]
+    hidden = docs.withColumn("text", F.when(F.col("text").isNotNull(), masked))
+    if "n_chars" not in docs.columns:
+        return hidden
+    return hidden.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
