@@ -33,7 +33,7 @@ LEAST_LENGTH = 0.5
 #: Share of an item's words that a text must have in order, and share of its rarest
 #: words, the answer, that must be among them.
 LEAST_COMMON = 0.6
-LEAST_ANSWER = 0.6
+LEAST_ANSWER = 0.5
 
 _GAPS = bytes(x if 48 <= x < 58 or 97 <= x < 123 or x > 127 else 32 for x in range(256))
 
@@ -70,10 +70,10 @@ class Items:
 def _chunks(numbers: list[np.ndarray]) -> Iterator[list[tuple[int, int, np.ndarray]]]:
     """(text, first step, numbers), some texts at a time; long ones in overlapping parts."""
     held, size = [], 0
-    overlap = (SIZES[-1] - 1) * STEP
+    steps, overlap = CHUNK // STEP * STEP, (SIZES[-1] - 1) * STEP
     for i, all_numbers in enumerate(numbers):
-        for first in range(0, len(all_numbers), CHUNK):
-            part = all_numbers[first : first + CHUNK + overlap]
+        for first in range(0, len(all_numbers), steps):
+            part = all_numbers[first : first + steps + overlap]
             held.append((i, first // STEP, part))
             size += len(part)
             if size >= CHUNK:

@@ -249,7 +249,7 @@ def fit(
     The label model sees the votes on all documents. The linear classifier is
     trained on its posterior labels of at most ``rows`` labelled documents, where
     the known label has 98 % of the say, and of about ``OTHER_ROWS`` others. Without
-    a toxic label, only the fixed lexicon speaks.
+    labels of both classes, only the fixed lexicon speaks.
     """
     sample = stored(labelled_sample(docs, labels, "toxic", kept_out, rows))
     lexicon = learned_lexicon(sample)
@@ -276,7 +276,7 @@ def fit(
     found.sort(key=lambda r: (bytes(r["ids"]), r["target"]))
     ids = [np.frombuffer(r["ids"], "<i4") for r in found]
     targets = np.array([r["target"] for r in found])
-    if not len(targets) or targets.max() < 0.5:
+    if sample.select("label").distinct().count() < 2:
         weights = np.zeros(BUCKETS, np.float32)
         weights[[features(word)[0] for word in INSULTS]] = 4.0
         return Classifier(weights, -2.0)

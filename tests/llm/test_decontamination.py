@@ -1,0 +1,133 @@
+"""Decontamination: the space, the subsequence check, and planted passages."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from llm import decontamination as dc
+
+ITEMS = "item_id long, text string"
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_common_words():
+    chance = random.Random(1)
+    for _ in range(300):
+        a = [b"%d" % chance.randint(0, 6) for _ in range(chance.randint(0, 80))]
+        b = [b"%d" % chance.randint(0, 6) for _ in range(chance.randint(0, 90))]
+        assert dc.common_words(a, b) == lcs(a, b)
+
+
+def vocabulary(chance, n):
+    return ["".join(chance.choices("abdeghiklmnoprstu", k=chance.randint(4, 9))) for _ in range(n)]
+
+
+def planted(seed, n_items=60, n_docs=500):
+    """Items, and texts of which some hold an item: whole, cut, with changed words."""
+    chance = random.Random(seed)
+    rare, common = vocabulary(chance, 6_000), vocabulary(chance, 60)
+    draw = lambda n: [chance.choice(common if chance.random() < 0.5 else rare) for _ in range(n)]
+    items = [draw(chance.randint(16, 75)) for _ in range(n_items)]
+    docs, truth = [], {}
+    for i in range(n_docs):
+        words = draw(chance.choice([10, 60, 300, 900]))
+        if i % 5 == 0:
+            item = chance.randrange(n_items)
+            own = list(items[item])
+            if i % 15 == 5:  # every sixth word is another
+                own = [chance.choice(rare) if k % 6 == 3 else w for k, w in enumerate(own)]
+            if i % 15 == 10:  # words are left out and put in
+                own = [w for k, w in enumerate(own) if k % 9 != 4]
+                own.insert(len(own) // 2, chance.choice(rare))
+            at = chance.randint(0, len(words))
+            words[at:at] = own
+            truth[i] = item
+        docs.append((i, " ".join(words).capitalize() + "."))
+    return [(k, " ".join(w)) for k, w in enumerate(items)], docs, truth
+
+
+@pytest.mark.parametrize("block", [2_000, 17])
+def test_planted_passages(spark, documents, monkeypatch, block):
+    monkeypatch.setattr(dc.blocks, "__defaults__", (block,))
+    items, docs, truth = planted(3)
+    df = documents(docs)
+    leaks = dc.leaks(df, spark.createDataFrame(items, ITEMS))
+    found = {r.doc_id: [x.item_id for x in r.leaks] for r in df.select("doc_id", leaks.alias("leaks")).collect()}
+    missed = [i for i, item in truth.items() if item not in found[i]]
+    wrong = [i for i in found if i not in truth and found[i]]
+    assert len(missed) <= 0.04 * len(truth)
+    assert wrong == []
+
+
+def test_recall_against_all_pairs(spark, documents):
+    """Whatever the full check of every text and item takes, the search finds."""
+    items, docs, _ = planted(5, n_items=30, n_docs=120)
+    df = documents(docs)
+    block = dc.Items.of(items)
+    space = dc.Space.fit(df, block)
+    hits = 0
+    for text, found in zip([t for _, t in docs], space.search([t for _, t in docs]), strict=True):
+        words = dc.words_of(text)
+        for item in range(len(items)):
+            every = range(0, max(len(words), 1), 4)
+            share = space.common(item, space.answer(item), words, list(every))
+            if share is not None:
+                hits += item in dict(found)
+            else:
+                hits -= 1_000 * (item in dict(found))
+    assert hits >= 23  # of 24 planted
+
+
+def test_the_space_is_that_of_the_matrix():
+    """Nystroem directions span the leading singular vectors of a small matrix."""
+    chance = np.random.default_rng(4)
+    low = chance.normal(size=(300, 10)) @ chance.normal(size=(10, 50))
+    idf = chance.uniform(0.5, 2, 50)
+    counts = low / idf
+    test = chance.normal(size=(50, dc.RANK + dc.EXTRA))
+    found = dc._directions(test, counts.T @ (counts @ test), idf)[:-1] / idf[:, None]
+    vectors = np.linalg.svd(low, full_matrices=False)[2][:10]
+    assert np.linalg.norm(vectors - vectors @ found @ found.T) < 1e-5
+
+
+def test_a_passage_deep_in_a_long_text(spark, documents, monkeypatch):
+    monkeypatch.setattr(dc, "CHUNK", 1 << 10)
+    items, docs, _ = planted(9, n_items=10, n_docs=40)
+    filler = " ".join(f"filler{i % 997}" for i in range(20_000))
+    docs = [(i, t) for i, t in docs if i % 5] + [(1000, f"{filler} {items[4][1]} {filler}")]
+    df = documents(docs)
+    leaks = dc.leaks(df, spark.createDataFrame(items, ITEMS))
+    found = {r.doc_id: [x.item_id for x in r.leaks] for r in df.select("doc_id", leaks.alias("leaks")).collect()}
+    assert found.pop(1000) == [4]
+    assert not any(found.values())
+
+
+def test_odd_rows(odd_documents, spark):
+    rows = [(1, "one two three four five six seven"), (1, "one two three four five six seven"), (2, None),
+            (None, "x"), (3, ""), (4, "word word word"), (5, "another text")]
+    leaks = dc.leaks(odd_documents, spark.createDataFrame(rows, ITEMS))
+    found = odd_documents.select("doc_id", "text", leaks.alias("leaks")).collect()
+    assert len(found) == odd_documents.count()
+    for row in found:
+        if (row.text or "").startswith("one two"):
+            assert 1 in [x.item_id for x in row.leaks]
+        if not (row.text or "").strip():
+            assert row.leaks == []
+
+
+def test_no_rows_and_no_items(odd_documents, spark):
+    some = spark.createDataFrame([(1, "one two three four")], ITEMS)
+    none = odd_documents.where(F.lit(False))
+    assert none.select(dc.leaks(none, some)).collect() == []
+    leaks = dc.leaks(odd_documents, some.where(F.lit(False)))
+    assert all(r.leaks == [] for r in odd_documents.select(leaks.alias("leaks")).collect())

@@ -1,0 +1,116 @@
+"""Bottom-k sketches against exact sets of shingles."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from llm import fingerprints as bk
+
+
+def shingles(text, words=5):
+    split = [w for w in (text or "").lower().split() if w]
+    if not split:
+        return set()
+    if len(split) < words:
+        return {" ".join(split)}
+    return {" ".join(split[i : i + words]) for i in range(len(split) - words + 1)}
+
+
+def text_of(random, n):
+    return " ".join(random.choice("abcdefgh") + str(random.randint(0, 400)) for _ in range(n))
+
+
+def test_estimates(spark):
+    chance = random.Random(3)
+    rows = []
+    for i in range(40):
+        a = text_of(chance, chance.choice([0, 1, 3, 5, 30, 100, 600, 3000]))
+        split = a.split()
+        b = " ".join(split[: len(split) * (i % 5) // 4]) + " " + text_of(chance, 200 * (i % 3))
+        rows.append((i, a, b))
+    df = spark.createDataFrame(rows, "i int, a string, b string")
+    a, b = bk.sketch(F.col("a")), bk.sketch(F.col("b"))
+    found = df.withColumns({"sa": a, "sb": b}).select(
+        "i",
+        "sa",
+        bk.resemblance(F.col("sa"), F.col("sb")).alias("j"),
+        bk.containment(F.col("sa"), F.col("sb")).alias("c"),
+        bk.distinct_shingles(F.col("sa")).alias("n"),
+    )
+    for row in found.collect():
+        _, a, b = rows[row.i]
+        x, y = shingles(a), shingles(b)
+        union = x | y
+        assert row.j == pytest.approx(len(x & y) / len(union) if union else 1, abs=0.16)
+        assert row.c == pytest.approx(len(x & y) / len(x) if x else 1, abs=0.3)
+        assert len(row.sa) == min(len(x), bk.SIZE)
+        assert row.sa == sorted(row.sa)
+        if len(x) < bk.SIZE:
+            assert row.n == len(x)
+        else:
+            assert row.n == pytest.approx(len(x), rel=0.35)
+
+
+def test_merged_parts_are_the_sketch_of_the_whole(spark):
+    chance = random.Random(5)
+    parts = [(k % 3, text_of(chance, 100)) for k in range(12)]
+    df = spark.createDataFrame([*parts, (7, None), (None, "a b c d e f")], "key int, text string")
+    df = df.withColumn("sketch", bk.sketch(F.col("text")))
+    merged = {r.key: r.sketch for r in bk.merge_groups(df, ["key"]).collect()}
+    # Shingles that cross two parts are in none, so the parts' shingles are compared.
+    for key in range(3):
+        own = df.where(F.col("key") == key).select(F.explode("sketch").alias("h"))
+        expected = sorted({r.h for r in own.collect()})[: bk.SIZE]
+        assert merged[key] == expected
+    assert merged[7] == []
+    assert len(merged[None]) == 2
+    pair = df.where("key = 0").limit(2).collect()
+    both = spark.createDataFrame([(pair[0].sketch, pair[1].sketch)], "a array<long>, b array<long>")
+    found = both.select(bk.merged(F.col("a"), F.col("b")).alias("m")).first().m
+    assert found == sorted({*pair[0].sketch, *pair[1].sketch})[: bk.SIZE]
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 7, 64])
+def test_next_rows(documents, buckets):
+    ids = [3, 1, 900, 17, 18, 19, 500, 10**12, -4]
+    docs = documents([(i, f"text of {i} " * 9) for i in ids])
+    found = {r.doc_id: r.next_text for r in bk.with_next(docs, buckets).collect()}
+    order = sorted(ids, reverse=True)
+    after = dict(zip(order, order[1:] + order[:1], strict=True))
+    assert found == {i: f"text of {after[i]} " * 9 for i in ids}
+
+
+def test_edited(spark):
+    rows = [("abcdef", "XYZW"), ("abcde", "XYZW"), ("", "XY"), ("a", "XY"), ("aé\U0001f600b", "Ü")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    found = [r.e for r in df.select(bk.edited(F.col("a"), F.col("b")).alias("e")).collect()]
+    assert found == ["abcXYZ", "abcXY", "", "a", "aéÜ"]
+
+
+def test_odd_rows(odd_documents):
+    found = bk.with_next(odd_documents, 3)
+    assert found.count() == odd_documents.count()
+    rows = found.orderBy(F.col("doc_id").desc_nulls_last(), "text").collect()
+    texts = [r.text for r in rows]
+    assert [r.next_text for r in rows] == texts[1:] + texts[:1]
+    assert None not in texts
+    alike = {tuple(r.sketch) for r in rows if r.text.startswith("one two")}
+    assert len(alike) == 1
+
+
+def test_no_rows_and_one(odd_documents, documents):
+    assert bk.with_next(odd_documents.where(F.lit(False))).collect() == []
+    only = bk.with_next(documents([(5, "a b c d e f")])).collect()
+    assert [(r.text, r.next_text) for r in only] == [("a b c d e f",) * 2]
+
+
+def test_no_python_runs(odd_documents):
+    from contextlib import redirect_stdout
+    from io import StringIO
+
+    plan = StringIO()
+    with redirect_stdout(plan):
+        bk.with_next(odd_documents, 3).explain()
+    assert "Python" not in plan.getvalue()
+    assert "Arrow" not in plan.getvalue()

@@ -1,0 +1,81 @@
+"""Licence scan against regular expressions, and templates with changes."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from llm import licenses
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def brute(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(lowered)
+    places = []
+    for phrase, label in licenses.PHRASES:
+        own = phrase.split()
+        places += [(i, label) for i in range(len(words)) if words[i : i + len(own)] == own]
+    return len(words), sorted(places)
+
+
+def test_phrases_against_brute_force():
+    chance = random.Random(4)
+    parts = "gnu general public license Apache LICENSE cc by CC-BY mit MIT é x 4.0 | - \n \x00 \x7f Ä".split(" ")
+    for _ in range(2_000):
+        text = chance.choice(["", " "]).join(chance.choices(parts, k=chance.randint(0, 30)))
+        text = " ".join([text, *chance.choices(parts, k=20)])
+        words = licenses.words_of(text)
+        assert (len(words), sorted(licenses.phrase_places(words))) == brute(text)
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("This work is licensed under the GNU General Public License, version 3.", ["gpl-3.0"]),
+        ("x y z Licensed under the Apache License, Version 2.0. and on", ["apache-2.0"]),
+        ("Released under the MIT License.", ["mit"]),
+        ("Licensed under CC BY-NC 4.0.", ["cc-by-nc-4.0"]),
+        ("Licensed under CC BY-SA 4.0.", ["cc-by-sa-4.0"]),
+        ("the word license and the word mit, gnu and apache, far apart", []),
+        ("This work is licensed under the GNU General Public License, version 9.", []),
+        ("This code was licensed under the GNU General Public License, version 3.", ["gpl-3.0"]),
+        ("this source code form is subject to terms", []),
+    ],
+)
+def test_templates(text, labels):
+    words = {w: 1.0 for _, _, t in licenses.TEMPLATES for w in t.encode().split()}
+    common = dict.fromkeys((b"the", b"under", b"this", b"is", b"to", b"of", b"by"), 0.1)
+    index = licenses.Index.of({**words, **common})
+    assert sorted({label for label, _, _ in index.matches(licenses.words_of(text))}) == labels
+
+
+def test_a_template_cut_off_at_either_end_does_not_fail():
+    index = licenses.Index.of({})
+    whole = "licensed under the apache license version 2 0".split()
+    for i in range(len(whole)):
+        index.matches(licenses.words_of(" ".join(whole[i:])))
+        index.matches(licenses.words_of(" ".join(whole[:i])))
+
+
+def test_scan_and_odd_rows(odd_documents, documents):
+    found = licenses.scan(odd_documents)
+    assert found.count() == odd_documents.count()
+    for row in found.select("text", "licenses.*").collect():
+        n, places = brute(row.text)
+        assert (row.n_words, sorted(zip(row.base_starts, row.base_labels, strict=True))) == (n, places)
+    docs = documents([(1, "a. Released under the MIT License. b, see mit license"), (2, "nothing")])
+    one, two = licenses.scan(docs).orderBy("doc_id").select("licenses.*").collect()
+    assert (one.base_starts, one.labels, one.starts, one.score) == ([4, 8], ["mit"], [1], 1.0)
+    assert (two.base_starts, two.labels, two.score) == ([], [], 0.0)
+
+
+def test_rarity_counts_documents(documents):
+    rarity = licenses.rarity(documents([(1, "license license"), (2, "The license"), (3, None)]))
+    assert rarity[b"license"] < rarity[b"the"] < rarity[b"apache"]
+
+
+def test_no_rows(odd_documents):
+    assert licenses.scan(odd_documents.where(F.lit(False))).collect() == []

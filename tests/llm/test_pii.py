@@ -1,0 +1,123 @@
+"""Personal data against plain patterns, and the label model."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from llm import pii
+
+
+def brute(text):
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append(("email", *m.span()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m.group().split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub(r"[\x20-]", "", m.group())
+        if 16 <= len(digits) <= 19 and pii.luhn(digits):
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= len(re.sub(r"[^0-9]", "", m.group())) <= 15:
+            out.append(("phone", *m.span()))
+    return out
+
+
+@pytest.mark.parametrize("signs", ["a1.@-+ 2(0)é%0.1", "0123456789 -", "1.", "a@.b@-", "+1 ()4-."])
+def test_base_spans_against_brute_force(signs):
+    chance = random.Random(signs)
+    for _ in range(6_000):
+        text = "".join(chance.choices(signs, k=chance.randint(0, 45)))
+        assert pii.base_spans(text) == brute(text), text
+
+
+def test_luhn():
+    assert pii.luhn("4539578763621486")
+    assert not pii.luhn("4539578763621487")
+
+
+@pytest.mark.parametrize("part", ["a", "1", "a@", "1.", "1-", "+1", "a.b@c"])
+def test_long_runs_take_no_square_time(part):
+    pii.base_spans(part * 200_000)
+
+
+TEXTS = [
+    "the password=b7db7aa4a5fcc78305 here", 'and token = "1beb58b8af68854f0e01b4ad40cdbb6ae7f5" so',
+    "call (269) 555-3296 today", "no password: example", "iban DE89 3704 0044 0532 0130 00 please",
+    "iban DE89 3704 0044 0532 0130 01 please", "ssn 123-45-6789.", "mac 00:1A:2B:3C:4D:5E up",
+    "version 1.2.3 and 12 apples", "a token of 5 things",
+]
+
+
+def model_of(texts):
+    counts = {}
+    for text in texts:
+        for span in pii.candidates(text):
+            row = pii.pattern(text, span)
+            counts[row] = counts.get(row, 0) + 1
+    return pii.SpanModel.fit(counts)
+
+
+def test_further_spans():
+    model = model_of(TEXTS)
+    found = {}
+    for text in TEXTS:
+        base = pii.base_spans(text)
+        for kind, start, end in pii.further_spans(text, base, model, {}):
+            found.setdefault(kind, []).append(text[start:end])
+    assert found["secret"] == ["b7db7aa4a5fcc78305", "1beb58b8af68854f0e01b4ad40cdbb6ae7f5"]
+    assert found["phone"] == ["(269) 555-3296"]
+    assert "DE89 3704 0044 0532 0130 00" in found["iban"]
+    assert found["ssn"] == ["123-45-6789"]
+    assert found["mac"] == ["00:1A:2B:3C:4D:5E"]
+
+
+def test_expectation_maximisation_finds_the_unreliable_labeler():
+    """Two labelers that are mostly right, one that guesses; the rest are silent."""
+    chance = random.Random(8)
+    counts = {}
+    for _ in range(4_000):
+        truth = chance.random() < 0.5
+        said = [int(truth == (chance.random() < p)) for p in (0.95, 0.9, 0.5)]
+        row = (4, 4, 2, *said, 2, 2, 2)
+        counts[row] = counts.get(row, 0) + 1
+    model = pii.SpanModel.fit(counts)
+    right = [(model.says[0, i, 0] + model.says[1, i, 1]) / 2 for i in range(3)]
+    assert right[0] > 0.85
+    assert right[1] > 0.8
+    assert 0.4 < right[2] < 0.65
+    assert model.chance((4, 4, 2, 1, 1, 0, 2, 2, 2)) > 0.5 > model.chance((4, 4, 2, 0, 0, 1, 2, 2, 2))
+
+
+def test_spans_do_not_overlap_base_ones_and_masks_hide_all(spark, documents):
+    texts = ["mail me at a.b@x.org or +1 (555) 123-4567", "password=abc12345def67890 10.0.0.1", None, ""]
+    docs = documents(list(enumerate(texts)))
+    model = pii.fit(docs)
+    rows = docs.select("doc_id", "text", pii.found(model).alias("pii")).orderBy("doc_id").collect()
+    assert rows[0].pii.spans == rows[0].pii.base == ["email:11:20", "phone:24:41"]
+    assert rows[0].pii.masked == "mail me at [EMAIL] or [PHONE]"
+    assert rows[1].pii.base == ["ip:26:34"]
+    assert rows[1].pii.masked == "password=[SECRET] [IP]"
+    assert [r.pii.masked for r in rows[2:]] == ["", ""]
+
+
+def test_mask_of_overlapping_spans():
+    assert pii.mask("abcdefgh", [("a", 1, 5), ("b", 3, 7), ("c", 7, 8)]) == "a[A][C]"
+
+
+def test_signs_whose_lower_case_is_longer_keep_places():
+    text = "İİ password=abc12345def67890 x"
+    assert [text[s:e] for _, s, e in pii.candidates(text)] == ["abc12345def67890"]
+
+
+def test_odd_rows_and_none(odd_documents):
+    model = pii.fit(odd_documents)
+    found = odd_documents.select("text", pii.found(model).alias("found")).collect()
+    assert len(found) == odd_documents.count()
+    for row in found:
+        assert row.found.base == ["{}:{}:{}".format(*s) for s in brute(row.text or "")]
+    none = odd_documents.where(F.lit(False))
+    assert none.select(pii.found(pii.fit(none))).collect() == []

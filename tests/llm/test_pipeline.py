@@ -1,0 +1,98 @@
+"""The pipeline's stages, and the registered queries on the smallest tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__
+import corpus_pipeline
+from llm import decontamination, simhash
+from llm.queries import QUERIES
+
+KEEPING = corpus_pipeline.STAGES[:-1]
+
+
+def test_stages_in_order():
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "near_duplicates", "decontamination", "pii", "packing"]
+
+
+def test_queries_are_registered():
+    names = __spark_entry__.queries()
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {*QUERIES, "pipeline"} <= set(names)
+
+
+@pytest.fixture(scope="module")
+def kept(spark, sf_dir):
+    """What each stage returns, from the smallest documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = [docs]
+    for _, stage in KEEPING:
+        out.append(stage(spark, out[-1], sf_dir).localCheckpoint())
+    return out
+
+
+def test_stages_keep_the_columns(kept):
+    assert all(df.dtypes == kept[0].dtypes for df in kept)
+
+
+def test_near_duplicate_stage(kept):
+    rows = [(r.doc_id, simhash.simhash(r.text, 3)) for r in kept[1].collect()]
+    left = {r.doc_id for r in kept[2].collect()}
+    first = {}
+    for doc_id, fp in sorted(rows):
+        near = [x for x in first if bin((x ^ fp) & (1 << 64) - 1).count("1") <= 2]
+        if not near:
+            first[fp] = doc_id
+    # Without chains, the first of each group is what stays.
+    assert left == set(first.values())
+
+
+def test_leak_stage(kept, spark, sf_dir):
+    items = [decontamination.words_of(r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    held = {}
+    for r in kept[2].collect():
+        words = decontamination.words_of(r.text)
+        joined = b" %s " % b" ".join(words)
+        held[r.doc_id] = any(b" %s " % b" ".join(item) in joined for item in items)
+    left = {r.doc_id for r in kept[3].collect()}
+    assert any(held.values())
+    assert left == {i for i, leak in held.items() if not leak}
+
+
+def test_pii_stage(kept):
+    before = {r.doc_id: r.text for r in kept[3].collect()}
+    for row in kept[4].collect():
+        assert row.n_chars == len(row.text)
+        assert "@mail" not in row.text
+        if "@" not in before[row.doc_id] and not any(map(str.isdigit, before[row.doc_id])):
+            assert row.text == before[row.doc_id]
+
+
+def test_stages_on_odd_rows(odd_documents, spark, sf_dir):
+    docs = odd_documents
+    for _, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, sf_dir)
+        if stage is not corpus_pipeline.pack:
+            assert found.columns == docs.columns
+        assert found.count() > 0
+        docs = found
+    none = odd_documents.where(F.lit(False))
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, sf_dir).collect() == []
+
+
+def test_run(spark, sf_dir, kept):
+    found = corpus_pipeline.run(spark, sf_dir)
+    assert {r.doc_id for r in found.collect()} == {r.doc_id for r in kept[-1].collect()}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(name, spark, sf_dir):
+    source = "pages" if name == "op9_urls" else "documents"
+    rows = spark.read.parquet(f"{sf_dir}/{source}.parquet").count()
+    found = QUERIES[name](spark, sf_dir)
+    if name == "op6_packing":
+        assert found.where("piece = 0").count() == rows
+    else:
+        assert found.count() == rows

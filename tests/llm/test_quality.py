@@ -1,0 +1,66 @@
+"""Quality classifier: held-out accuracy, and scores against the plain formula."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from llm import quality
+from llm.common import held_out
+
+LABELS = "doc_id long, quality int"
+
+
+def corpus(n, seed):
+    chance = random.Random(seed)
+    parts = ["ta", "ri", "on", "the", "mu", "sel", "vo"]
+    rows, labels = [], []
+    for i in range(n):
+        words = ["".join(chance.choices(parts, k=chance.randint(1, 3))) for _ in range(chance.choice([20, 90]))]
+        bad = i % 4 == 0
+        if bad:
+            words = [[w + "%%%" for w in words], [w.upper() + "!!" for w in words], [w for w in words for _ in range(9)]][i // 4 % 3]
+        rows.append((i, " ".join(words)))
+        if i % 5:
+            labels.append((i, int(not bad)))
+    return rows, labels
+
+
+def test_held_out_accuracy(spark, documents):
+    rows, labels = corpus(600, 1)
+    docs = documents(rows)
+    model = quality.fit(docs, spark.createDataFrame(labels, LABELS), held_out(F.col("doc_id"), 3, 1))
+    found = docs.select("doc_id", quality.score(spark, model).alias("s")).collect()
+    assert sum((r.s >= 0.5) == (r.doc_id % 4 != 0) for r in found) >= 0.98 * len(found)
+
+
+def test_scores_are_those_of_the_mean_vector(monkeypatch):
+    chance = np.random.default_rng(2)
+    model = quality.Classifier(
+        chance.normal(size=(quality.BUCKETS, quality.SIZE)),
+        chance.normal(size=(quality.SIZE, 2)),
+        np.array([0.1, -0.3]),
+    )
+    texts = ["", None, "a", "a a b a", "Übung macht 日本 x", "w " * 300, "one two\tthree\nfour"]
+    monkeypatch.setattr(quality, "CACHED_WORDS", 3)
+    for text, score in zip(texts, model.scores(texts), strict=True):
+        places, counts = quality.counted(text)
+        mean = counts @ model.vectors[places] / max(counts.sum(), 1)
+        odds = mean @ model.output + model.bias
+        assert score == pytest.approx(float(np.exp(odds[1]) / np.exp(odds).sum()), abs=1e-5)
+
+
+def test_odd_rows(odd_documents, spark):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (5, 0), (None, 1), (6, None), (77, 1)], LABELS)
+    model = quality.fit(odd_documents, labels, held_out(F.col("doc_id"), 3, 1))
+    found = odd_documents.select("text", quality.score(spark, model).alias("s")).collect()
+    assert len(found) == odd_documents.count()
+    assert len({r.s for r in found if not (r.text or "").strip()}) == 1
+
+
+def test_no_rows_and_no_labels(odd_documents, spark):
+    none, empty = odd_documents.where(F.lit(False)), spark.createDataFrame([], LABELS)
+    model = quality.fit(none, empty, F.lit(False))
+    assert none.select(quality.score(spark, model)).collect() == []
+    assert {r.s for r in odd_documents.select(quality.score(spark, model).alias("s")).collect()} == {0.5}

@@ -1,0 +1,146 @@
+"""SimHash near-duplicates against brute force."""
+
+import random
+from itertools import combinations
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from llm import components, simhash
+
+
+def brute_fingerprint(text, words=3):
+    for sign in "\t\n\v\f\r":
+        text = text.replace(sign, " ")
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    split = [w for w in lowered.split(" ") if w]
+    shingles = [" ".join(split[i : i + words]) for i in range(len(split) - words + 1)]
+    shingles = shingles or ([" ".join(split)] if split else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def unsigned(value):
+    return value & (1 << 64) - 1
+
+
+def brute_components(rows, max_bits=2):
+    parent = list(range(len(rows)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in combinations(range(len(rows)), 2):
+        if (rows[i][1] ^ rows[j][1]).bit_count() <= max_bits:
+            parent[top(i)] = top(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        least[top(i)] = min(least.get(top(i), doc_id), doc_id)
+    return sorted((doc_id, least[top(i)]) for i, (doc_id, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["", " \t\n", "One", "One TWO", "One two three", "a b c d e f g a b c d", "É é\x0bÉ x y",
+     "x " * 500, "nbsp stays one word here"],
+)
+def test_fingerprint(text):
+    assert unsigned(simhash.simhash(text, 3)) == brute_fingerprint(text)
+
+
+def test_fingerprint_of_a_text_in_chunks(monkeypatch):
+    text = " ".join(str(i * i % 1013) for i in range(5_000))
+    whole = simhash.simhash(text, 3)
+    monkeypatch.setattr(simhash, "CHUNK", 64)
+    assert simhash.simhash(text, 3) == whole
+    assert unsigned(whole) == brute_fingerprint(text)
+
+
+def near(random, n):
+    """Fingerprints in dense clouds of few changed bits, some with the top bit."""
+    out = set()
+    while len(out) < n:
+        center = random.getrandbits(64)
+        for _ in range(random.randint(1, 12)):
+            changed = center
+            for _ in range(random.randint(0, 4)):
+                changed ^= 1 << random.randrange(64)
+            out.add(changed)
+    return sorted(out)
+
+
+def signed(value):
+    return value - (1 << 64) if value >> 63 else value
+
+
+@pytest.mark.parametrize("large_bucket", [2048, 1, 0])
+@pytest.mark.parametrize(("max_bits", "parts"), [(2, 2), (2, 3), (3, 2), (1, 2)])
+def test_links(spark, max_bits, parts, large_bucket):
+    if max_bits == 3 and large_bucket < 2:
+        pytest.skip("masks of three bits are many")
+    fps = near(random.Random(max_bits), 150)
+    df = spark.createDataFrame([(signed(x),) for x in fps], "fp long")
+    found = simhash.links(df, max_bits, parts, large_bucket).collect()
+    found = {tuple(sorted((unsigned(r.a), unsigned(r.b)))) for r in found}
+    expected = {p for p in combinations(fps, 2) if (p[0] ^ p[1]).bit_count() <= max_bits}
+    assert len(expected) > 20
+    if large_bucket:
+        assert found == expected
+    else:  # links to the first of a few are enough to reach them all
+        assert found <= expected
+    assert reached(found, fps) == reached(expected, fps)
+
+
+def reached(pairs, nodes):
+    label = {n: n for n in nodes}
+    for _ in nodes:
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    return label
+
+
+def test_components_of_a_chain_and_loops(spark):
+    pairs = [(i, i + 1) for i in range(40)] + [(50, 50), (60, 70), (70, 60), (60, 70)]
+    edges = spark.createDataFrame([*pairs, (None, 3)], "a long, b long")
+    found = {r.node: r.root for r in components.components(edges).collect()}
+    assert found == {**{i: 0 for i in range(1, 41)}, 70: 60}
+
+
+def test_near_duplicates(documents):
+    base = [f"w{i}" for i in range(400)]
+    texts = [" ".join(base)]
+    for k in range(12):
+        changed = list(base)
+        changed[k * 7] = f"other{k}"
+        texts.append(" ".join(changed))
+    texts += ["", "   ", "some other text altogether", "some other text altogether", None]
+    rows = [(100 - i, t) for i, t in enumerate(texts)]
+    prints = [(i, brute_fingerprint(t or "")) for i, t in rows]
+    found = simhash.near_duplicates(documents(rows)).collect()
+    assert sorted((r.doc_id, unsigned(r.fp)) for r in found) == sorted(prints)
+    assert sorted((r.doc_id, r.component_id) for r in found) == brute_components(prints)
+    kept = simhash.keep_one(documents(rows))
+    assert kept.columns == documents([]).columns
+    heads = {c for _, c in brute_components(prints)}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(heads)
+
+
+def test_odd_rows(odd_documents):
+    found = simhash.near_duplicates(odd_documents)
+    assert found.count() == odd_documents.count()
+    by_id = {r.doc_id: r.component_id for r in found.where("doc_id > 1").collect()}
+    assert by_id == {2: 2, 3: 2, 4: 2, 5: 5, 6: 6, 7: 1}
+    kept = simhash.keep_one(odd_documents)
+    assert kept.columns == odd_documents.columns
+    # The two texts of id 1 are two groups; a null text without an id is like an empty one.
+    ids = sorted((r.doc_id or 0, r.text) for r in kept.collect())
+    assert [i for i, _ in ids] == [0, 1, 1, 2, 5, 6]
+
+
+def test_no_rows(odd_documents):
+    none = odd_documents.where(F.lit(False))
+    assert simhash.near_duplicates(none).collect() == []
+    assert simhash.keep_one(none).collect() == []
