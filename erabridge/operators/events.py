@@ -1,9 +1,11 @@
 """Row-level steps on events: filter, flags, dimension columns, unnesting."""
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Event names as the tracker writes them.
 SESSION_START = "session_start"
@@ -25,6 +27,18 @@ def only_events(events: DataFrame, names: Iterable[str]) -> DataFrame:
     return events.where(F.col("event_name").isin(*names))
 
 
+def events_of_days(events: DataFrame, first: date, last: date) -> DataFrame:
+    """Rows of the days from ``first`` to ``last``.
+
+    The stored day itself is compared, as text or number, so that folders and
+    files of other days are skipped.
+    """
+    ends = [f"{day:%Y%m%d}" for day in (first, last)]
+    if not isinstance(events.schema["event_date"].dataType, T.StringType):
+        ends = [int(day) for day in ends]
+    return events.where(F.col("event_date").between(*ends))
+
+
 def with_event_flags(events: DataFrame) -> DataFrame:
     """Adds 0/1 columns for page views, session starts and purchases."""
     names = {

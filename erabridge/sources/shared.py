@@ -1,6 +1,6 @@
 """The folder that all executors can reach, for results jobs hand on."""
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -8,25 +8,41 @@ from pyspark.sql import SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """``folder``, or else the one the session names in ``spark.checkpoint.dir``.
 
-    Only a local session, where driver and executors are one process, may go
-    without the setting; it gets a folder of its own.
+    On a cluster a folder of the driver's own machine is refused. Nothing is
+    set or made: the session stays as the caller configured it.
     """
-    folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder.rstrip("/")
     context = spark.sparkContext
-    folder = context.getConf().get(SETTING) or context.getCheckpointDir()
+    folder = (
+        folder
+        or spark.conf.get(SETTING, None)
+        or context.getConf().get(SETTING)
+        or context.getCheckpointDir()
+    )
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {SETTING} to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="erabridge-"))
-        folder = context.getCheckpointDir()
+        raise ValueError(f"give a folder, or name one in {SETTING}")
+    if not context.master.startswith("local") and _of_one_machine(spark, folder):
+        raise ValueError(f"executors can't share {folder}")
     return folder.rstrip("/")
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
+def _of_one_machine(spark: SparkSession, folder: str) -> bool:
+    scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", folder)
+    if scheme is None:
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+        scheme = re.match(r"([^:]*):", default or "file:")
+    return scheme.group(1).lower() == "file"
+
+
+def fresh_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark, folder)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this run has made, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(place, True)

@@ -53,7 +53,7 @@ def test_event_day(spark, either_ansi, text, day):
     ],
 )
 def test_bad_event_day_raises(spark, either_ansi, text):
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="not a valid yyyyMMdd day|Invalid (value|date)"):
         one(spark, text, T.StringType(), parse_event_date)
 
 
@@ -90,7 +90,7 @@ def test_history_day(spark, either_ansi, text):
     ],
 )
 def test_bad_history_day_raises(spark, either_ansi, text):
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="not a valid yyyy-mm-dd day"):
         one(spark, text, T.StringType(), history_date)
 
 
@@ -99,3 +99,31 @@ def test_history_day_null_and_typed(spark):
     day = date(2024, 1, 5)
     typed = lambda c: history_date(c, T.DateType())
     assert one(spark, day, T.DateType(), typed) == day
+
+
+@pytest.mark.parametrize("text", ["09991231", "00010101", "99991231"])
+def test_days_of_all_years(spark, text):
+    df = spark.createDataFrame([(text,)], "day string")
+    found = df.select(parse_event_date(F.col("day")).cast("string").alias("d")).first().d
+    assert found.replace("-", "") == text
+
+
+@pytest.mark.parametrize("text", ["00000101", "-0010101", "+2024010", " 2024010", "2024010 "])
+def test_eight_signs_that_are_no_day_raise(spark, text):
+    df = spark.createDataFrame([(text,)], "day string")
+    with pytest.raises(Exception, match="not a valid yyyyMMdd day"):
+        df.select(parse_event_date(F.col("day"))).collect()
+
+
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Tokyo", "UTC"])
+def test_an_instant_belongs_to_its_day_in_utc(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        seconds = [1704420000, 1704412799, 1704412800, -1, 0]
+        df = spark.createDataFrame([(s,) for s in seconds], "s long")
+        instant = history_date(F.timestamp_seconds("s"), T.TimestampType())
+        found = [r.d for r in df.select(instant.cast("string").alias("d")).collect()]
+        assert found == ["2024-01-05", "2024-01-04", "2024-01-05", "1969-12-31", "1970-01-01"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

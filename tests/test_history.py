@@ -60,5 +60,5 @@ def test_bad_history_fails_the_job(spark, row):
     history = spark.createDataFrame(
         [row], "date string, sessions string, pageviews string, bounce_rate string"
     )
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="not a valid "):
         clean_session_history(history).collect()

@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from workload.oracle import oracle_queries
+from workload.queries import QUERIES
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+ORACLE = oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,8 @@ def other_engine(sf_dir):
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 def canonical(rows, columns):
@@ -40,3 +43,30 @@ def test_same_rows(spark, sf_dir, other_engine, name):
 
 def test_entry_runs(spark):
     assert not entry_points.entry(spark).isEmpty()
+
+
+UNFILTERED = [
+    "filter_event_in", "unnest_items", "session_counts", "pageview_counts",
+    "session_metrics", "count_distinct_purchases", "sum_quantity",
+    "left_join_date_dim", "ga4_ecommerce",
+]
+
+
+@pytest.mark.parametrize("name", UNFILTERED)
+def test_a_query_fails_without_its_filter(spark, sf_dir, other_engine, monkeypatch, name):
+    for module in ("erabridge.operators.sessions", "erabridge.operators.products", "workload.queries"):
+        monkeypatch.setattr(f"{module}.only_events", lambda events, names: events)
+    df = QUERIES[name](spark, sf_dir)
+    expected = other_engine.sql(ORACLE[name])
+    assert canonical(df.collect(), df.columns) != canonical(
+        expected.fetchall(), expected.columns
+    )
+
+
+def test_the_hard_cases_occur(spark, sf_dir):
+    scan = QUERIES["scan_ga4_events"](spark, sf_dir)
+    assert scan.where("event_date IS NULL").count() > 0
+    assert scan.where("session_id IS NULL").count() > 0
+    views, starts = (QUERIES[n](spark, sf_dir) for n in ("pageview_counts", "session_counts"))
+    same = views.date.eqNullSafe(starts.date) & views.campaign.eqNullSafe(starts.campaign)
+    assert views.join(starts, same, "left_anti").count() > 0

@@ -1,6 +1,7 @@
 """The physical plans: what is read, shuffled and kept out of Python."""
 
 import re
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,7 +92,8 @@ def test_all_session_reports_share_one_scan(spark, wide_events):
 def test_history_is_cleaned_without_a_shuffle(spark, sf_dir):
     for spec in REPORTS.values():
         plan = plan_of(ua_half(spec, history_rows(spark, sf_dir)))
-        assert "Exchange" not in plan and "WholeStageCodegen" in plan or "*(1)" in plan
+        assert "Exchange" not in plan
+        assert "WholeStageCodegen" in plan or "*(1)" in plan
 
 
 def test_day_filter_reaches_the_partitions(spark, wide_events):
@@ -110,9 +112,26 @@ def test_day_filter_on_a_sorted_report_skips_event_folders(
     assert re.search(r"PartitionFilters: \[.{0,20}coalesce\(.*event_date#\d+", plan)
 
 
+def test_day_range_reaches_both_inputs_of_a_sorted_report(spark, wide_events, tmp_path):
+    history_path = f"{tmp_path}/history"
+    rows = [("2024-01-01", "a", "1", "2", "0.5"), ("2024-01-07", "b", "1", "2", "0.5")]
+    columns = ["date", "campaign", "sessions", "pageviews", "bounce_rate"]
+    spark.createDataFrame(rows, columns).write.parquet(history_path)
+    events = read_partitioned_events(spark, wide_events)
+    days = (date(2024, 1, 5), date(2024, 1, 9))
+    report = build_report(
+        REPORTS["campaign"], events, spark.read.parquet(history_path), days=days
+    )
+    plan = plan_of(report)
+    assert "event_date#" in re.search(r"PartitionFilters: \[(.*?)\], ", plan).group(1)
+    filters = re.findall(r"DataFilters: \[(.*?)\], Format", plan)
+    assert any("2024-01-05" in f and "2024-01-09" in f for f in filters)
+    assert [row.date for row in report.collect()] == [date(2024, 1, 7)]
+
+
 def test_no_query_leaves_the_jvm_or_pairs_rows(spark, sf_dir):
     for name, query in QUERIES.items():
-        if name == "sink_replace_table":
+        if name == "sink_replace_table" or name.startswith("refresh_"):
             continue
         plan = plan_of(query(spark, sf_dir))
         for node in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"):

@@ -136,7 +136,7 @@ def test_other_events_do_not_matter(spark):
 
 def test_bad_day_raises_even_without_a_session_start(spark):
     rows = [event("20240230", "page_view", 1, "a")]
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="Invalid date"):
         report(spark, rows)
 
 

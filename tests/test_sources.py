@@ -1,8 +1,10 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from erabridge import REPORTS, ga4_half
+from erabridge import REPORTS, ga4_half, ua_half
 from erabridge.schema import EVENT_SCHEMA
 from erabridge.session import settings_for
 from erabridge.sources.events import (
@@ -61,7 +63,6 @@ def test_partitioned_days_stay_text_and_prune(spark, tmp_path):
     assert dict(events.dtypes)["event_date"] == "string"
     some = events.where(F.col("event_date") >= "20240102")
     assert days(some) == ["20240102", "20240103"]
-    assert len(some.inputFiles()) >= 1
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
 
@@ -72,7 +73,7 @@ def test_history_by_table_or_path(spark, tmp_path):
     rows.write.mode("overwrite").saveAsTable("history_by_name")
     by_path = read_history(spark, path=f"{tmp_path}/h")
     assert by_path.collect() == read_history(spark, "history_by_name").collect()
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="table name or a path"):
         read_history(spark)
 
 
@@ -106,11 +107,17 @@ def test_shards_in_another_format(spark, tmp_path):
 
 
 class FakeSession:
-    """A session on a cluster, without the shared folder set."""
+    """A session on a cluster whose default file system is the machine's own."""
 
     class sparkContext:
         master = "yarn"
 
+        class _jsc:
+            class hadoopConfiguration:
+                @staticmethod
+                def get(key):
+                    return "file:///"
+
         @staticmethod
         def getConf():
             return {}
@@ -126,11 +133,67 @@ class FakeSession:
 
 
 def test_a_cluster_session_must_name_the_shared_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(FakeSession())
 
 
+@pytest.mark.parametrize("folder", ["file:/data/x", "file:///data/x", "/data/x"])
+def test_a_cluster_session_refuses_a_folder_of_one_machine(folder):
+    with pytest.raises(ValueError, match="can't share"):
+        shared_folder(FakeSession(), folder)
+
+
+@pytest.mark.parametrize("folder", ["hdfs://n/x", "s3a://bucket/x/"])
+def test_a_cluster_session_takes_a_folder_of_a_shared_store(folder):
+    assert shared_folder(FakeSession(), folder) == folder.rstrip("/")
+
+
+def test_the_shared_folder_is_looked_up_without_a_change(spark, tmp_path):
+    before = spark.sparkContext.getCheckpointDir()
+    assert fresh_path(spark, "x", f"{tmp_path}/").startswith(f"{tmp_path}/x-")
+    assert spark.sparkContext.getCheckpointDir() == before
+
+
+def test_shards_of_some_days_only_are_listed(spark, shards):
+    first, last = date(2023, 12, 31), date(2024, 1, 3)
+    some = read_event_shards(spark, shards, days=(date(2024, 1, 2), last))
+    assert days(some) == ["20240102", "20240103"]
+    assert {f.split("/")[-2] for f in some.inputFiles()} == {
+        "events_20240102",
+        "events_intraday_20240103",
+    }
+    done = read_event_shards(spark, shards, DAILY_SHARDS, days=(first, last))
+    assert days(done) == ["20231231", "20240101", "20240102"]
+
+
+def test_a_spreadsheet_s_history_gives_the_rows_of_a_stored_one(spark, tmp_path):
+    rows = [("2024-01-05", "1\u202f234", "7", "0,5"), ("2024-01-06", "3", "4", "<0.01%")]
+    columns = ["date", "sessions", "pageviews", "bounce_rate"]
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/h")
+    (tmp_path / "h.csv").write_text(
+        "\n".join(";".join(r) for r in [columns, *rows]), encoding="utf-8"
+    )
+    csv = read_history(
+        spark, path=f"{tmp_path}/h.csv", fmt="csv", options={"header": "true", "sep": ";"}
+    )
+    stored = read_history(spark, path=f"{tmp_path}/h")
+    spec = REPORTS["traffic"]
+    assert sorted(ua_half(spec, csv).collect()) == sorted(ua_half(spec, stored).collect())
+
+
+FIRST_COUNT = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def test_shuffle_partitions_grow_with_the_job():
     small, large = settings_for(10**6, 8), settings_for(10**13, 8000)
-    assert small["spark.sql.shuffle.partitions"] == "8"
-    assert int(large["spark.sql.shuffle.partitions"]) > 70_000
+    assert small[FIRST_COUNT] == "8"
+    assert int(large[FIRST_COUNT]) > 70_000
+
+
+def test_splits_follow_what_is_read_and_blocks_stay_readable():
+    wide = settings_for(10**13, 8000, stored_bytes=10**14, read_share=0.1)
+    split = int(wide["spark.sql.files.maxPartitionBytes"])
+    assert split == 10 * 128 * 1024**2
+    blocks = int(wide[FIRST_COUNT]) * 10**14 / split
+    assert 10**13 / blocks > 10_000
+    assert 10**13 / int(wide[FIRST_COUNT]) <= 1024**3

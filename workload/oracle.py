@@ -9,15 +9,16 @@ together from separate counts with outer joins.
 EVENTS = """
 ga4 AS (
   SELECT
-    strftime(ts, '%Y%m%d') AS event_date,
+    CASE WHEN event_id % 97 <> 0 THEN strftime(ts, '%Y%m%d') END AS event_date,
     CASE event_type
       WHEN 'view' THEN 'page_view'
       WHEN 'signup' THEN 'session_start'
       WHEN 'click' THEN 'user_engagement'
       ELSE event_type
     END AS event_name,
-    user_id AS session_id,
-    CASE WHEN k % 5 <> 0 THEN 'camp_' || (k % 5) END AS campaign,
+    CASE WHEN event_id % 89 <> 0 THEN user_id END AS session_id,
+    CASE WHEN event_type = 'view' AND event_id % 83 = 0 THEN 'camp_unstarted'
+         WHEN k % 5 <> 0 THEN 'camp_' || (k % 5) END AS campaign,
     CASE WHEN user_id % 7 <> 0 THEN 'src_' || (user_id % 7) END AS source,
     CASE user_id % 3
       WHEN 0 THEN 'desktop' WHEN 1 THEN 'mobile' WHEN 2 THEN 'tablet'
@@ -80,6 +81,7 @@ def _clean(column: str, dtype: str) -> str:
     return f"CAST(replace({column}, chr(8239), '') AS {dtype}) AS {column}"
 
 
+# The pattern, the text for a tiny share and its value.
 SHARE = """CAST(
     CASE WHEN regexp_matches(bounce_rate, '^[0-9.,<%]+$')
          THEN replace(replace(bounce_rate, '<0.01%', '0.0001'), ',', '.')
@@ -177,6 +179,9 @@ SESSION_REPORTS = {
 }
 
 
+REPORT_NAMES = (*SESSION_REPORTS, "ecommerce")
+
+
 def _with(*parts: str) -> str:
     *ctes, select = parts
     return "WITH " + ",".join(ctes) + select
@@ -229,6 +234,7 @@ def oracle_queries() -> dict[str, str]:
         **reports,
         "ga4_all_session_reports": _all_session_reports(),
         "sink_replace_table": reports["report_traffic"],
+        **{f"refresh_{name}": reports[f"report_{name}"] for name in REPORT_NAMES},
         "order_report": reports["report_campaign"] + "\nORDER BY date, campaign",
         "union_all_widen": reports["report_ecommerce"],
         "left_join_date": reports["ga4_traffic"],
@@ -315,7 +321,10 @@ SELECT date, product, CAST(sum(quantity) AS BIGINT) AS product_revenue
 FROM bought GROUP BY date, product""",
         ),
         "cast_ua_date": _with(
-            HISTORY, "\nSELECT date AS text, CAST(date AS DATE) AS date FROM ua"
+            HISTORY,
+            """
+SELECT date AS text, CAST(date AS DATE) AS date, CAST(date AS DATE) AS day_of_time
+FROM ua""",
         ),
         "strip_nnbsp": _with(
             HISTORY,

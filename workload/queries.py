@@ -1,11 +1,13 @@
 """Every operator and report as a query on the test tables."""
 
+import tempfile
 import uuid
 from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from erabridge.functions.dates import history_date, parse_event_date
 from erabridge.functions.numbers import (
@@ -17,11 +19,9 @@ from erabridge.functions.numbers import (
 )
 from erabridge.operators import sessions as S
 from erabridge.operators.events import (
-    BOUNCE_EVENTS,
     PAGE_VIEW,
     PRODUCT_EVENTS,
     SESSION_REPORT_EVENTS,
-    SESSION_START,
     USER_ENGAGEMENT,
     is_event,
     only_events,
@@ -33,6 +33,7 @@ from erabridge.plans.reports import (
     REPORTS,
     build_report,
     ga4_half,
+    refresh_all,
     ua_half,
     write_report,
 )
@@ -59,8 +60,7 @@ def report(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recent_half(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = REPORTS[name]
-    return ga4_half(spec, event_rows(spark, sf_dir, _names(spec)))
+    return ga4_half(REPORTS[name], event_rows(spark, sf_dir))
 
 
 def history_half(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,19 +97,42 @@ def scan_ua_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history_rows(spark, sf_dir)
 
 
+def _folder(spark: SparkSession) -> str:
+    """The session's shared folder; where a local session names none, one in /tmp."""
+    try:
+        return shared_folder(spark)
+    except ValueError:
+        if not spark.sparkContext.master.startswith("local"):
+            raise
+        return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
 def sink_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written twice, first without the history: the second replaces the first."""
     spec = REPORTS["traffic"]
-    table = f"traffic_ua_ga4_{uuid.uuid4().hex[:12]}"
-    write_report(
-        spec,
-        event_rows(spark, sf_dir, _names(spec)),
-        history_rows(spark, sf_dir),
-        table,
-        location=shared_folder(spark),
-    )
+    table, folder = f"traffic_ua_ga4_{uuid.uuid4().hex[:12]}", _folder(spark)
+    events = event_rows(spark, sf_dir, _names(spec))
+    history = history_rows(spark, sf_dir)
+    write_report(spec, events, history.where(F.lit(False)), table, folder)
+    write_report(spec, events, history, table, folder)
     return spark.table(table)
 
 
+def refreshed(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six reports refreshed; one of them as read back from its table."""
+    run, folder = uuid.uuid4().hex[:12], _folder(spark)
+    history = history_rows(spark, sf_dir)
+    written = refresh_all(
+        spark,
+        event_rows(spark, sf_dir),
+        {report: history for report in REPORTS},
+        {report: f"{spec.output_table}_{run}" for report, spec in REPORTS.items()},
+        location=folder,
+        folder=folder,
+    )
+    return spark.table(written[name])
+
+
 # ------------------------------------------------------------------ event rows
 
 
@@ -123,7 +146,7 @@ def struct_field_access(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_event_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = event_rows(spark, sf_dir, SESSION_REPORT_EVENTS)
+    events = event_rows(spark, sf_dir)
     return only_events(events, SESSION_REPORT_EVENTS).select(
         "event_date",
         "event_name",
@@ -148,7 +171,7 @@ def dates_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items_of_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = event_rows(spark, sf_dir, PRODUCT_EVENTS)
+    events = event_rows(spark, sf_dir)
     return unnest_items(only_events(events, PRODUCT_EVENTS))
 
 
@@ -168,11 +191,11 @@ def left_join_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.session_counts(event_rows(spark, sf_dir, [SESSION_START]), *CAMPAIGN)
+    return S.session_counts(event_rows(spark, sf_dir), *CAMPAIGN)
 
 
 def pageview_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.pageview_counts(event_rows(spark, sf_dir, [PAGE_VIEW]), *CAMPAIGN)
+    return S.pageview_counts(event_rows(spark, sf_dir), *CAMPAIGN)
 
 
 def coalesce_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +217,7 @@ def count_if_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.session_metrics(event_rows(spark, sf_dir, BOUNCE_EVENTS), *CAMPAIGN)
+    return S.session_metrics(event_rows(spark, sf_dir), *CAMPAIGN)
 
 
 def bounce_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,14 +225,14 @@ def bounce_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def count_distinct_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = purchased_items(event_rows(spark, sf_dir, PRODUCT_EVENTS))
+    items = purchased_items(event_rows(spark, sf_dir))
     return items.groupBy("date", "product").agg(
         F.count_distinct("session_id").alias("unique_purchases")
     )
 
 
 def sum_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = purchased_items(event_rows(spark, sf_dir, PRODUCT_EVENTS))
+    items = purchased_items(event_rows(spark, sf_dir))
     return items.groupBy("date", "product").agg(
         F.sum("quantity").alias("product_revenue")
     )
@@ -228,8 +251,12 @@ def union_all_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cast_ua_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # An instant late on the same day in UTC.
+    late = F.expr("timestamp_seconds(unix_date(cast(date AS date)) * 86400L + 84600)")
     return history_rows(spark, sf_dir).select(
-        F.col("date").alias("text"), history_date(F.col("date")).alias("date")
+        F.col("date").alias("text"),
+        history_date(F.col("date")).alias("date"),
+        history_date(late, T.TimestampType()).alias("day_of_time"),
     )
 
 
@@ -300,4 +327,5 @@ QUERIES: dict[str, Query] = {
     **{f"ga4_{name}": partial(recent_half, name) for name in REPORTS},
     **{f"ua_{name}": partial(history_half, name) for name in REPORTS},
     **{f"report_{name}": partial(report, name) for name in REPORTS},
+    **{f"refresh_{name}": partial(refreshed, name) for name in REPORTS},
 }
