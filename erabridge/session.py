@@ -2,7 +2,10 @@
 
 from math import ceil
 
-#: Bytes that a task reads of the columns it needs, or takes from a shuffle.
+#: Bytes that a task reads of the columns it needs. They are few a row, and the
+#: refresh folds four groups per session in memory, so this is a small split.
+SPLIT_BYTES = 16 * 1024**2
+#: Bytes that a task takes from a shuffle.
 PARTITION_BYTES = 128 * 1024**2
 #: No task of a shuffle takes more than this, however many map tasks there are.
 LARGEST_PARTITION_BYTES = 1024**3
@@ -28,7 +31,7 @@ def settings_for(
     first one: adaptive execution merges those that turn out small but never
     splits those of an aggregate, hence the generous count.
     """
-    split = ceil(PARTITION_BYTES / max(read_share, 0.01))
+    split = ceil(SPLIT_BYTES / max(read_share, 0.01))
     maps = max(1, ceil(stored_bytes / split))
     fitting = ceil(shuffle_bytes / PARTITION_BYTES)
     readable = ceil(shuffle_bytes / (maps * BLOCK_BYTES))
