@@ -19,19 +19,20 @@ def settings_for(
     cores: int,
     stored_bytes: int = 0,
     read_share: float = 1.0,
+    split_bytes: int = SPLIT_BYTES,
 ) -> dict[str, str]:
     """Settings for a job whose largest shuffle moves about ``shuffle_bytes``.
 
     ``stored_bytes`` is the size of the events and ``read_share`` the part of
     it that the needed columns take. Input splits are sized by what is read of
-    them, so splits of wide files are large.
+    them, ``split_bytes``, so splits of wide files are large.
 
     The largest shuffle holds one row per session, so it grows with the events
     while all later ones stay small. The number of partitions given is the
     first one: adaptive execution merges those that turn out small but never
     splits those of an aggregate, hence the generous count.
     """
-    split = ceil(SPLIT_BYTES / max(read_share, 0.01))
+    split = ceil(split_bytes / max(read_share, 0.01))
     maps = max(1, ceil(stored_bytes / split))
     fitting = ceil(shuffle_bytes / PARTITION_BYTES)
     readable = ceil(shuffle_bytes / (maps * BLOCK_BYTES))

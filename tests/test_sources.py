@@ -191,9 +191,11 @@ def test_shuffle_partitions_grow_with_the_job():
 
 
 def test_splits_follow_what_is_read_and_blocks_stay_readable():
-    wide = settings_for(10**13, 8000, stored_bytes=10**14, read_share=0.1)
+    small = settings_for(10**13, 8000, stored_bytes=10**14, read_share=0.1)
+    assert small["spark.sql.files.maxPartitionBytes"] == str(10 * 16 * 1024**2)
+    wide = settings_for(10**13, 8000, 10**14, 0.1, split_bytes=128 * 1024**2)
     split = int(wide["spark.sql.files.maxPartitionBytes"])
-    assert split == 10 * 16 * 1024**2
+    assert split == 10 * 128 * 1024**2
     blocks = int(wide[FIRST_COUNT]) * 10**14 / split
     assert 10**13 / blocks > 10_000
     assert 10**13 / int(wide[FIRST_COUNT]) <= 1024**3
