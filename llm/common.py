@@ -29,6 +29,13 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that a job has made and no later one reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(place, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows of ``df``, written to the shared folder: later jobs read them there."""
     shared_folder(df.sparkSession)

@@ -26,6 +26,8 @@ LEAST_RARITY = 3.0
 COMMON_WORD = 0.1
 #: Words that are embedded at a time, which bounds the memory of a long text.
 CHUNK = 1 << 16
+#: Texts whose words a task holds at a time.
+TEXTS = 500
 #: A candidate passage points to an item at least so closely, and has at least this
 #: share of the item's length in its direction.
 LEAST_COSINE = 0.5
@@ -294,8 +296,11 @@ def blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[Items]:
 def _searched(space: Space) -> Column:
     def search(batches):
         for texts in batches:
-            found = space.search(texts.tolist())
-            yield pd.Series([[{"item_id": i, "common": c} for i, c in x] for x in found])
+            rows = []
+            for at in range(0, len(texts), TEXTS):
+                found = space.search(texts[at : at + TEXTS].tolist())
+                rows += [[{"item_id": i, "common": c} for i, c in x] for x in found]
+            yield pd.Series(rows)
 
     search.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(search, "array<struct<item_id long, common double>>")("text")

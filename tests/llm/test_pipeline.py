@@ -1,11 +1,14 @@
 """The pipeline's stages, and the registered queries on the smallest tables."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
 from llm import decontamination, simhash
+from llm.common import shared_folder
 from llm.queries import QUERIES
 
 KEEPING = corpus_pipeline.STAGES[:-1]
@@ -28,7 +31,7 @@ def kept(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = [docs]
     for _, stage in KEEPING:
-        out.append(stage(spark, out[-1], sf_dir).localCheckpoint())
+        out.append(stage(spark, out[-1], sf_dir).checkpoint())
     return out
 
 
@@ -83,7 +86,11 @@ def test_stages_on_odd_rows(odd_documents, spark, sf_dir):
 
 
 def test_run(spark, sf_dir, kept):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
     found = corpus_pipeline.run(spark, sf_dir)
+    made = [f.name for f in set(folder.iterdir()) - before if f.name.startswith("pipeline-")]
+    assert len(made) == 1
     assert {r.doc_id for r in found.collect()} == {r.doc_id for r in kept[-1].collect()}
 
 
