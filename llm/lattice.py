@@ -288,7 +288,9 @@ def score(docs: DataFrame, learn: Column, kept_out: Column, vocabulary: str) ->
     a row each; an empty table gives an empty result.
 
     Frequent words, of bounded number, are looked up where the text is read; the
-    others travel to their counts and back, by word and then by row.
+    others travel to their counts and back, by word and then by row. A row is known
+    by its task and place, so ``docs`` should be read from files: a task that runs
+    again then meets its rows in the same order.
     """
     words = stored(word_counts(docs, learn))
     n = F.col("n")
