@@ -42,7 +42,7 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' tokens in sequences: see ``packing.pack``."""
+    """The documents' token ids in sequences: see ``packing.pack``."""
     return packing.pack(docs, packing.vocabulary_path())
 
 

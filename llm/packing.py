@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from struct import pack as packed_ids
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,9 +18,12 @@ from llm.common import partitions, stored
 CAPACITY = 4096
 END_ID = 1
 ID_BYTES = 4
+SHORT_BYTES = 2
 #: Words whose ids a task remembers, and texts that it takes at a time.
 CACHED_WORDS = 800_000
 TEXTS = 500
+#: Pieces whose ids a task widens at a time.
+PIECES_AT_A_TIME = 1_000
 
 #: Marks that end words: neither letters, digits nor blanks.
 MARKS = ".,;:!?%&*$#|()[]{}\"'-+=/<>~^_`@\\"
@@ -33,7 +37,9 @@ SHOWN = {
 #: Ranks that a planned range is joined by.
 RANKS = 64
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+#: ``ids`` are a piece's ids as little-endian numbers of ``ID_BYTES`` bytes; until the
+#: pieces have their places, of ``SHORT_BYTES`` if no id of the vocabulary needs more.
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
 class WordIds:
@@ -99,7 +105,10 @@ def tokenised(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> Dat
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        words = WordIds(Tokenizer.from_file(vocabulary))
+        tokenizer = Tokenizer.from_file(vocabulary)
+        words = WordIds(tokenizer)
+        largest = max(END_ID, *tokenizer.get_vocab(with_added_tokens=True).values())
+        short = largest < 1 << 8 * SHORT_BYTES
         end = END_ID.to_bytes(ID_BYTES, "little")
         step = capacity * ID_BYTES
         for batch in batches:
@@ -109,10 +118,11 @@ def tokenised(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> Dat
                 packed += end
                 for piece, at in enumerate(range(0, len(packed), step)):
                     own = packed[at : at + step]
-                    rows.append((doc_id, piece, at // 4, len(own) // 4, crc32(own)))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            columns = zip(*rows, strict=True) if rows else [()] * 5
+                    held = np.frombuffer(own, "<u4").astype("<u2").tobytes() if short else own
+                    rows.append((doc_id, piece, at // 4, len(own) // 4, crc32(own), held))
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+            columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
@@ -167,15 +177,16 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     piece's rank within its length is its number within a slice of that length plus
     the sizes of the slices before; slices are dealt by a hash of the row, so a
     length that many pieces share is spread. The plan's ranges meet the pieces by
-    length and block of ranks. Repeated rows are packed each; an empty table gives
-    an empty result.
+    length and block of ranks, without the ids: these join what was planned by a
+    number that each stored piece has. Repeated rows are packed each; an empty table
+    gives an empty result.
     """
     spark = pieces.sparkSession
     slices = 4 * partitions(spark)
     names = [x.split()[0] for x in PIECES.split(", ")]
-    pieces = pieces.select(*names)
+    whole = stored(pieces.select(*names, F.monotonically_increasing_id().alias("_row")))
     cut = F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(slices))
-    pieces = stored(pieces.withColumn("_slice", cut))
+    pieces = stored(whole.drop("ids").withColumn("_slice", cut))
     sizes = stored(pieces.groupBy("length", "_slice").agg(F.count("*").alias("n")))
     totals = sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()
     ranges = plan({x.length: x.n for x in totals}, capacity)
@@ -187,7 +198,8 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = Window.partitionBy("length").orderBy("_slice")
     before = before.rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    within = Window.partitionBy("length", "_slice").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "_slice")
+    within = within.orderBy("doc_id", "piece", "ids_crc32", "_row")
     ranked = pieces.withColumn("number", F.row_number().over(within) - 1)
     ranked = ranked.join(starts.drop("n"), ["length", "_slice"])
     ranked = ranked.withColumn("rank", F.col("before") + F.col("number"))
@@ -196,15 +208,34 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     inside = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last"))
     slot = F.col("rank") - F.col("first")
     found = ranked.join(ranges, ["length", "block"]).where(inside)
-    return found.select(
-        *names,
+    found = found.select(
+        "_row",
         (F.col("sequence") + F.expr("(rank - first) div each")).alias("sequence_id"),
         (F.col("offset0") + slot % F.col("each") * F.col("length")).alias("offset"),
     )
+    found = whole.join(found, "_row").select(*names, "sequence_id", "offset")
+    return found.mapInArrow(_widened, found.schema)
+
+
+def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces with ids of ``ID_BYTES`` bytes; each piece has one id or more."""
+    for batch in batches:
+        for at in range(0, len(batch), PIECES_AT_A_TIME):
+            part = batch.slice(at, PIECES_AT_A_TIME)
+            place = part.schema.get_field_index("ids")
+            held, lengths = part.column(place).to_pylist(), part.column("length").to_pylist()
+            wide = [
+                x if len(x) == n * ID_BYTES else np.frombuffer(x, "<u2").astype("<u4").tobytes()
+                for x, n in zip(held, lengths, strict=True)
+            ]
+            yield part.set_column(place, "ids", pa.array(wide, pa.binary()))
 
 
 def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
-    """The pieces of ``docs`` in sequences of at most ``capacity`` tokens."""
+    """The pieces of ``docs``, with their ids, in sequences of at most ``capacity`` tokens.
+
+    A sequence's ids are those of its pieces by ``offset``, one after the other.
+    """
     return packed(tokenised(docs, vocabulary, capacity), capacity)
 
 

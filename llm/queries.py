@@ -73,7 +73,8 @@ def op5_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack(docs, packing.vocabulary_path())
+    found = packing.pack(docs, packing.vocabulary_path())
+    return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,3 +112,23 @@ def test_odd_rows(odd_documents):
 
 def test_no_rows(odd_documents):
     assert packing.pack(odd_documents.where(F.lit(False)), VOCABULARY).collect() == []
+
+
+def test_sequences_can_be_rebuilt(documents):
+    """The ids themselves come out, also of repeated rows and ids with several texts."""
+    texts = [(1, "alpha beta. " * 40), (1, "alpha beta. " * 40), (1, "gamma, delta"), (None, "x"), (2, None), (3, "")]
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    rows = packing.pack(documents(texts), VOCABULARY, 64).collect()
+    expected, sequences = [], {}
+    for doc_id, text in texts:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
+        expected += [(doc_id or -1, at, ids[at : at + 64]) for at in range(0, len(ids), 64)]
+    found = []
+    for r in sorted(rows, key=lambda r: r.offset):
+        ids = list(struct.unpack(f"<{r.length}I", r.ids))
+        found.append((r.doc_id or -1, r.start, ids))
+        sequence = sequences.setdefault(r.sequence_id, [])
+        assert len(sequence) == r.offset
+        sequence += ids
+    assert sorted(found) == sorted(expected)
+    assert max(map(len, sequences.values())) <= 64

@@ -1,13 +1,15 @@
 """The pipeline's stages, and the registered queries on the smallest tables."""
 
+import struct
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from llm import decontamination, simhash
+from llm import decontamination, packing, simhash
 from llm.common import shared_folder
 from llm.queries import QUERIES
 
@@ -94,6 +96,18 @@ def test_run(spark, sf_dir, kept):
     assert {r.doc_id for r in found.collect()} == {r.doc_id for r in kept[-1].collect()}
 
 
+def test_the_corpus_is_the_ids(spark, sf_dir, kept):
+    """The last stage hands on the ids of all texts, not their checksums alone."""
+    tokenizer = Tokenizer.from_file(packing.vocabulary_path())
+    texts = {r.doc_id: r.text for r in kept[-1].collect()}
+    found = {}
+    for r in sorted(corpus_pipeline.run(spark, sf_dir).collect(), key=lambda r: (r.doc_id, r.start)):
+        found.setdefault(r.doc_id, []).extend(struct.unpack(f"<{r.length}I", r.ids))
+    for doc_id, text in texts.items():
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert found[doc_id] == [*ids, packing.END_ID]
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, sf_dir):
     source = "pages" if name == "op9_urls" else "documents"
