@@ -18,9 +18,9 @@ BLOCK = 2_000
 #: compared with the shortest passages that are not shorter than it, or the longest.
 STEP = 12
 SIZES = (2, 3, 5)
+#: Items that passages are compared with at a time.
+PARTS = 500
 RANK, EXTRA = 32, 8
-#: Logarithm of one over the share of passages with a word from which it has weight.
-LEAST_RARITY = 3.0
 #: Words in more than this share of the items say nothing about one, and are no
 #: dimensions; a benchmark of few items has none of these.
 COMMON_WORD = 0.1
@@ -47,11 +47,13 @@ def words_of(text: str | None) -> list[bytes]:
 
 @dataclass
 class Items:
-    """A block of benchmark items, and numbers of the words that tell them apart."""
+    """A block of benchmark items, numbers of the words that tell them apart, and of
+    how many items each is."""
 
     ids: list[int]
     words: list[list[bytes]]
     vocabulary: dict[bytes, int]
+    shares: np.ndarray
 
     @classmethod
     def of(cls, rows: list[tuple[int, str | None]]) -> Items:
@@ -59,7 +61,20 @@ class Items:
         held = [(i, words) for i, words in held if words]
         shares = Counter(w for _, words in held for w in set(words))
         every = sorted(w for w, n in shares.items() if n <= max(3, COMMON_WORD * len(held)))
-        return cls([i for i, _ in held], [w for _, w in held], {w: n for n, w in enumerate(every)})
+        return cls(
+            [i for i, _ in held],
+            [w for _, w in held],
+            {w: n for n, w in enumerate(every)},
+            np.array([shares[w] for w in every], float),
+        )
+
+    def weights(self) -> np.ndarray:
+        """By word, its rarity among the items, which no number of leaks changes."""
+        return np.log1p(len(self.words) / self.shares)
+
+    def parts(self) -> list[tuple[int, int, int]]:
+        """(item, first word, end) of what passages are compared with."""
+        return [(i, 0, len(words)) for i, words in enumerate(self.words)]
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """Each word's number; -1 for other words. Filled up to whole steps."""
@@ -114,9 +129,10 @@ def _sketch_part(items: Items, test: np.ndarray, texts: list[str | None]):
 
 @dataclass
 class Space:
-    """Directions of the passages' TF-IDF matrix, for a block of items."""
+    """Directions of the passages' matrix of weighted words, for a block of items."""
 
     items: Items
+    #: By word, its inverse document frequency among all passages.
     idf: np.ndarray
     #: By word, its weighted coordinates; the last row, zero, is that of other words.
     words: np.ndarray
@@ -125,9 +141,8 @@ class Space:
     def fit(cls, docs: DataFrame, items: Items) -> Space:
         """Randomised SVD over the passages of all ``docs`` and, in ``of``, of the items.
 
-        A is the matrix of passages by words, T its counts, D the words' inverse
-        document frequencies, A = T D. One pass gives T'T times a random matrix and
-        the frequencies; with both, A'A is known on the random matrix scaled by
+        A is the matrix of passages by words, T its counts, D the words' weights,
+        A = T D. One pass gives T'T times a random matrix; with it, A'A is known on the random matrix scaled by
         D's inverse, and the Nystroem form of A'A on it has A's right singular
         vectors. Each task sends one row a word of the items, however many passages
         it read.
@@ -168,21 +183,21 @@ class Space:
         """From the sums over the documents' passages; the items' are added here.
 
         Items weigh as much as all documents, else the space would have no room for
-        what tells them apart. Words of many passages have no weight.
+        what tells them apart.
         """
         texts = [b" ".join(w).decode() for w in items.words]
         own, own_seen, own_rows = _sketch_part(items, test, texts)
         idf = np.log((total + own + 1) / (seen + own_seen + 1))
-        idf = np.maximum(idf - LEAST_RARITY, 1e-3)
         rows = rows + max(1.0, total / own) * own_rows
-        return cls(items, idf, _directions(test.astype(float), rows, idf))
+        return cls(items, idf, _directions(test.astype(float), rows, items.weights()))
 
-    def item_vectors(self) -> np.ndarray:
+    def part_vectors(self, parts: list[tuple[int, int, int]]) -> np.ndarray:
         """The items' places in the space; of a long one, what a passage can hold."""
-        get, most = self.items.vocabulary.get, SIZES[-1] * STEP
+        get, words = self.items.vocabulary.get, self.items.words
+        most = SIZES[-1] * STEP
         vectors = [
-            self.words[[get(w, -1) for w in x]].sum(0) * min(1, most / len(x))
-            for x in self.items.words
+            self.words[[get(w, -1) for w in words[i][at:end]]].sum(0) * min(1, most / (end - at))
+            for i, at, end in parts
         ]
         return np.stack(vectors).astype(np.float32)
 
@@ -192,16 +207,19 @@ class Space:
         Passages close to an item in the space are candidates; the words around
         one are then compared with the item's in order.
         """
-        vectors = self.item_vectors()
+        parts = self.items.parts()
+        vectors = self.part_vectors(parts)
         lengths = np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)
         vectors = (vectors / lengths[:, None]).T
-        sizes = np.array([len(w) for w in self.items.words])
+        sizes = np.array([end - at for _, at, end in parts])
         group_of = np.searchsorted(np.array(SIZES[:-1]) * STEP, sizes)
         groups = [np.flatnonzero(group_of == i) for i in range(len(SIZES))]
-        answers = [self.answer(i) for i in range(len(sizes))]
+        answers = [self.answer(i) for i in range(len(self.items.words))]
+        item_of, offset_of = np.array(parts)[:, :2].T
         words = self.words.astype(np.float32)
         split = [words_of(t) for t in texts]
-        near: list[dict[int, list[int]]] = [{} for _ in split]
+        distinct = [set(w) for w in split]
+        near: list[dict[int, set[int]]] = [{} for _ in split]
         for held in _chunks([self.items.numbers(w) for w in split]):
             flat = np.concatenate([x for _, _, x in held])
             steps = np.add.reduceat(words[flat], np.arange(0, len(flat), STEP))
@@ -211,18 +229,30 @@ class Space:
                 if not len(group):
                     continue
                 passages = sum(steps[k : len(steps) - length + 1 + k] for k in range(length))
-                along = passages @ vectors[:, group]
                 least = LEAST_COSINE * np.linalg.norm(passages, axis=1)
                 least[text[: len(passages)] != text[length - 1 :]] = np.inf
-                close = along >= np.maximum(least[:, None], LEAST_LENGTH * lengths[group])
-                for at, item in zip(*np.nonzero(close), strict=True):
-                    places = near[text[at]].setdefault(int(group[item]), [])
-                    places.append(int(step[at]) * STEP)
+                for first in range(0, len(group), PARTS):
+                    own = group[first : first + PARTS]
+                    along = passages @ vectors[:, own]
+                    close = along >= np.maximum(least[:, None], LEAST_LENGTH * lengths[own])
+                    at, part = np.nonzero(close)
+                    item, number = item_of[own[part]], text[at]
+                    start = step[at] * STEP - offset_of[own[part]]
+                    pair = number * len(answers) + item
+                    order = np.argsort(pair, kind="stable")
+                    pair, start = pair[order], start[order]
+                    bounds = np.append(np.flatnonzero(np.diff(pair, prepend=-1)), len(pair))
+                    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                        key = int(pair[low])
+                        i, k = divmod(key, len(answers))
+                        # Words that the whole text has not are at none of its places.
+                        if len(answers[k] & distinct[i]) >= LEAST_ANSWER * len(answers[k]):
+                            near[i].setdefault(k, set()).update(start[low:high].tolist())
         for words_in, places in zip(split, near, strict=True):
             yield [
                 (self.items.ids[item], share)
                 for item, starts in sorted(places.items())
-                if (share := self.common(item, answers[item], words_in, starts)) is not None
+                if (share := self.common(item, answers[item], words_in, sorted(starts))) is not None
             ]
 
     def common(
@@ -243,22 +273,22 @@ class Space:
         return best if best >= LEAST_COMMON else None
 
     def answer(self, item: int) -> set[bytes]:
-        """The rarest quarter of an item's distinct words; words of many items last."""
+        """The rarest quarter of an item's distinct words, by passages with them."""
         numbers = self.items.vocabulary
         rarity = lambda w: (-self.idf[numbers[w]] if w in numbers else 0.0, w)
         rarest = sorted(set(self.items.words[item]), key=rarity)
         return set(rarest[: -(-len(rarest) // 4)])
 
 
-def _directions(test: np.ndarray, rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """idf times the leading right singular vectors, from T'T test; a zero row last."""
-    image = rows * idf[:, None]  # A'A times (test / idf)
+def _directions(test: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weights times the leading right singular vectors, from T'T test; a zero row last."""
+    image = rows * weights[:, None]  # A'A times (test / weights)
     inner = test.T @ rows
     basis, upper = np.linalg.qr(image)
     middle = upper @ np.linalg.pinv((inner + inner.T) / 2, rcond=1e-10, hermitian=True) @ upper.T
     values, vectors = np.linalg.eigh((middle + middle.T) / 2)
     leading = basis @ vectors[:, np.argsort(-values)[:RANK]]
-    return np.vstack([leading * idf[:, None], np.zeros((1, leading.shape[1]))])
+    return np.vstack([leading * weights[:, None], np.zeros((1, leading.shape[1]))])
 
 
 def common_words(a: list[bytes], b: list[bytes]) -> int:

@@ -131,3 +131,32 @@ def test_no_rows_and_no_items(odd_documents, spark):
     assert none.select(dc.leaks(none, some)).collect() == []
     leaks = dc.leaks(odd_documents, some.where(F.lit(False)))
     assert all(r.leaks == [] for r in odd_documents.select(leaks.alias("leaks")).collect())
+
+
+def searched(items, texts):
+    """What the search finds in each text, the space fitted without Spark."""
+    block = dc.Items.of(items)
+    test = np.random.default_rng(5).normal(size=(len(block.vocabulary), dc.RANK + dc.EXTRA)).astype(np.float32)
+    space = dc.Space.of(block, test, *dc._sketch_part(block, test, texts))
+    return [sorted(i for i, _ in found) for found in space.search(texts)]
+
+
+def with_items(texts, own, chance):
+    """Texts with an item of ``own`` (text, item) put in, at some place."""
+    out = list(texts)
+    for at, item in own:
+        words = texts[at].split()
+        place = chance.randint(0, len(words))
+        out[at] = " ".join([*words[:place], item, *words[place:]])
+    return out
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_an_item_in_a_third_of_the_documents(seed):
+    chance = random.Random(seed)
+    items, docs, _ = planted(seed, n_items=60, n_docs=500)
+    texts = [t for i, t in docs if i % 5]
+    leaked = [(at, items[7][1]) for at in range(0, len(texts), 3)]
+    found = searched(items, with_items(texts, leaked, chance))
+    assert [at for at, _ in leaked if found[at] != [7]] == []
+    assert not any(found[at] for at in range(len(texts)) if at % 3)
