@@ -21,9 +21,6 @@ SIZES = (2, 3, 5)
 #: Items that passages are compared with at a time.
 PARTS = 500
 RANK, EXTRA = 32, 8
-#: Words in more than this share of the items say nothing about one, and are no
-#: dimensions; a benchmark of few items has none of these.
-COMMON_WORD = 0.1
 #: Words that are embedded at a time, which bounds the memory of a long text.
 CHUNK = 1 << 16
 #: Texts whose words a task holds at a time.
@@ -47,29 +44,36 @@ def words_of(text: str | None) -> list[bytes]:
 
 @dataclass
 class Items:
-    """A block of benchmark items, numbers of the words that tell them apart, and of
-    how many items each is."""
+    """A block of benchmark items, numbers of their words, and of how many items each is.
 
-    ids: list[int]
+    Items of the same words are one here, with the ids of all.
+    """
+
+    ids: list[list[int]]
     words: list[list[bytes]]
     vocabulary: dict[bytes, int]
     shares: np.ndarray
 
     @classmethod
     def of(cls, rows: list[tuple[int, str | None]]) -> Items:
-        held = [(i, words_of(text)) for i, text in rows]
-        held = [(i, words) for i, words in held if words]
-        shares = Counter(w for _, words in held for w in set(words))
-        every = sorted(w for w, n in shares.items() if n <= max(3, COMMON_WORD * len(held)))
+        held: dict[tuple[bytes, ...], dict[int, None]] = {}
+        for i, text in rows:
+            if words := tuple(words_of(text)):
+                held.setdefault(words, {})[i] = None
+        shares = Counter(w for words in held for w in set(words))
+        every = sorted(shares)
         return cls(
-            [i for i, _ in held],
-            [w for _, w in held],
+            [list(ids) for ids in held.values()],
+            [list(words) for words in held],
             {w: n for n, w in enumerate(every)},
             np.array([shares[w] for w in every], float),
         )
 
     def weights(self) -> np.ndarray:
-        """By word, its rarity among the items, which no number of leaks changes."""
+        """By word, its rarity among the items, which no number of leaks changes.
+
+        A word of all items still has some weight, so that every item has a direction.
+        """
         return np.log1p(len(self.words) / self.shares)
 
     def parts(self) -> list[tuple[int, int, int]]:
@@ -193,10 +197,10 @@ class Space:
 
     def part_vectors(self, parts: list[tuple[int, int, int]]) -> np.ndarray:
         """The items' places in the space; of a long one, what a passage can hold."""
-        get, words = self.items.vocabulary.get, self.items.words
+        get, words = self.items.vocabulary.__getitem__, self.items.words
         most = SIZES[-1] * STEP
         vectors = [
-            self.words[[get(w, -1) for w in words[i][at:end]]].sum(0) * min(1, most / (end - at))
+            self.words[[get(w) for w in words[i][at:end]]].sum(0) * min(1, most / (end - at))
             for i, at, end in parts
         ]
         return np.stack(vectors).astype(np.float32)
@@ -250,9 +254,10 @@ class Space:
                             near[i].setdefault(k, set()).update(start[low:high].tolist())
         for words_in, places in zip(split, near, strict=True):
             yield [
-                (self.items.ids[item], share)
+                (i, share)
                 for item, starts in sorted(places.items())
                 if (share := self.common(item, answers[item], words_in, sorted(starts))) is not None
+                for i in self.items.ids[item]
             ]
 
     def common(
@@ -275,7 +280,7 @@ class Space:
     def answer(self, item: int) -> set[bytes]:
         """The rarest quarter of an item's distinct words, by passages with them."""
         numbers = self.items.vocabulary
-        rarity = lambda w: (-self.idf[numbers[w]] if w in numbers else 0.0, w)
+        rarity = lambda w: (-self.idf[numbers[w]], w)
         rarest = sorted(set(self.items.words[item]), key=rarity)
         return set(rarest[: -(-len(rarest) // 4)])
 

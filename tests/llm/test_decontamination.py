@@ -160,3 +160,25 @@ def test_an_item_in_a_third_of_the_documents(seed):
     found = searched(items, with_items(texts, leaked, chance))
     assert [at for at, _ in leaked if found[at] != [7]] == []
     assert not any(found[at] for at in range(len(texts)) if at % 3)
+
+
+@pytest.mark.parametrize("n_items", [12, 60])
+def test_a_third_of_the_benchmark_is_alike(n_items):
+    chance = random.Random(6)
+    items, docs, _ = planted(6, n_items=n_items, n_docs=200)
+    items = [(i, items[0][1] if i % 3 == 0 else text) for i, text in items]
+    texts = [t for i, t in docs if i % 5]
+    leaked = [(at, items[0][1]) for at in range(0, 100, 5)]
+    found = searched(items, with_items(texts, leaked, chance))
+    assert all(found[at] == list(range(0, n_items, 3)) for at, _ in leaked)
+
+
+def test_an_item_of_words_that_most_items_have():
+    chance = random.Random(8)
+    items, docs, _ = planted(8, n_items=40, n_docs=200)
+    every = vocabulary(chance, 20)
+    items = [(i, f"{text} {' '.join(chance.sample(every, 14))}") for i, text in items] + [(40, " ".join(every))]
+    texts = [t for i, t in docs if i % 5]
+    leaked = [(at, items[40][1]) for at in range(0, 100, 5)]
+    found = searched(items, with_items(texts, leaked, chance))
+    assert all(40 in found[at] for at, _ in leaked)
