@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 #: Items of a benchmark that are looked for at a time; more are more blocks.
 BLOCK = 2_000
 #: Words between starts of passages, and steps that a passage is long. An item is
-#: compared with the shortest passages that are not shorter than it, or the longest.
+#: compared with the shortest passages that are not shorter than it. A longer one than
+#: the longest is cut into parts of that length, which start every ``PART`` words.
 STEP = 12
 SIZES = (2, 3, 5)
-#: Items that passages are compared with at a time.
+PART = 30
+#: Parts that passages are compared with at a time.
 PARTS = 500
 RANK, EXTRA = 32, 8
 #: Words that are embedded at a time, which bounds the memory of a long text.
@@ -78,7 +80,12 @@ class Items:
 
     def parts(self) -> list[tuple[int, int, int]]:
         """(item, first word, end) of what passages are compared with."""
-        return [(i, 0, len(words)) for i, words in enumerate(self.words)]
+        most, out = SIZES[-1] * STEP, []
+        for i, words in enumerate(self.words):
+            last = max(0, len(words) - most)
+            out += [(i, at, at + most) for at in range(0, last, PART)]
+            out.append((i, last, len(words)))
+        return out
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """Each word's number; -1 for other words. Filled up to whole steps."""
@@ -196,20 +203,17 @@ class Space:
         return cls(items, idf, _directions(test.astype(float), rows, items.weights()))
 
     def part_vectors(self, parts: list[tuple[int, int, int]]) -> np.ndarray:
-        """The items' places in the space; of a long one, what a passage can hold."""
+        """The places of parts of items in the space."""
         get, words = self.items.vocabulary.__getitem__, self.items.words
-        most = SIZES[-1] * STEP
-        vectors = [
-            self.words[[get(w) for w in words[i][at:end]]].sum(0) * min(1, most / (end - at))
-            for i, at, end in parts
-        ]
+        vectors = [self.words[[get(w) for w in words[i][at:end]]].sum(0) for i, at, end in parts]
         return np.stack(vectors).astype(np.float32)
 
     def search(self, texts: list[str | None]) -> Iterator[list[tuple[int, float]]]:
         """For each text, (item, share of its words in order) of the items it holds.
 
-        Passages close to an item in the space are candidates; the words around
-        one are then compared with the item's in order.
+        Passages close to a part of an item in the space are candidates; the words
+        around one, as far as the item goes, are then compared with all of its words
+        in order.
         """
         parts = self.items.parts()
         vectors = self.part_vectors(parts)
@@ -219,6 +223,9 @@ class Space:
         group_of = np.searchsorted(np.array(SIZES[:-1]) * STEP, sizes)
         groups = [np.flatnonzero(group_of == i) for i in range(len(SIZES))]
         answers = [self.answer(i) for i in range(len(self.items.words))]
+        # Starts of a long item's copy are told apart by a quarter of its length.
+        longest = SIZES[-1] * STEP
+        apart = np.array([len(w) // 4 if len(w) > longest else 1 for w in self.items.words])
         item_of, offset_of = np.array(parts)[:, :2].T
         words = self.words.astype(np.float32)
         split = [words_of(t) for t in texts]
@@ -242,6 +249,7 @@ class Space:
                     at, part = np.nonzero(close)
                     item, number = item_of[own[part]], text[at]
                     start = step[at] * STEP - offset_of[own[part]]
+                    start = start // apart[item] * apart[item]
                     pair = number * len(answers) + item
                     order = np.argsort(pair, kind="stable")
                     pair, start = pair[order], start[order]
@@ -271,7 +279,7 @@ class Space:
         best = 0.0
         for start in starts:
             low = max(0, start - len(own) // 2)
-            around = words[low : start + SIZES[-1] * STEP + len(own) // 2]
+            around = words[low : start + max(SIZES[-1] * STEP, len(own)) + len(own) // 2]
             if len(answer.intersection(around)) < LEAST_ANSWER * len(answer):
                 continue
             best = max(best, common_words(own, around) / len(own))

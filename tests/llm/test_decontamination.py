@@ -182,3 +182,20 @@ def test_an_item_of_words_that_most_items_have():
     leaked = [(at, items[40][1]) for at in range(0, 100, 5)]
     found = searched(items, with_items(texts, leaked, chance))
     assert all(40 in found[at] for at, _ in leaked)
+
+
+@pytest.mark.parametrize("length", [200, 800, 2_000])
+def test_long_items(length):
+    """A long item of several subjects is not like any of its passages as a whole."""
+    chance = random.Random(length)
+    items, docs, _ = planted(10, n_items=40, n_docs=300)
+    subjects = [vocabulary(chance, 40) for _ in range(60)]
+    for i in range(40, 50):
+        words = [w for k in range(-(-length // 40)) for w in chance.choices(chance.choice(subjects), k=40)]
+        items.append((i, " ".join(words[:length])))
+    # The subjects' words are those of other documents too.
+    texts = [t for i, t in docs if i % 5]
+    texts += [" ".join(chance.choices(chance.choice(subjects), k=100)) for _ in range(200)]
+    leaked = [(at, items[40 + at % 10][1]) for at in range(40)]
+    found = searched(items, with_items(texts, leaked, chance))
+    assert [at for at, _ in leaked if 40 + at % 10 not in found[at]] == []
