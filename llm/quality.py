@@ -19,7 +19,7 @@ from llm.common import labelled_sample
 LABELLED_ROWS = 4_000
 BUCKETS = 1 << 16
 SIZE = 12
-GRAMS = (2, 3)
+GRAMS = (2, 3, 4)
 CACHED_WORDS = 600_000
 #: Stand beside a word that is the same as the one before, or the second before.
 ECHOES = ("= =1", "= =2")

@@ -64,3 +64,9 @@ def test_no_rows_and_no_labels(odd_documents, spark):
     model = quality.fit(none, empty, F.lit(False))
     assert none.select(quality.score(spark, model)).collect() == []
     assert {r.s for r in odd_documents.select(quality.score(spark, model).alias("s")).collect()} == {0.5}
+
+
+def test_words_have_n_grams_of_two_to_four_signs():
+    assert quality.grams("abc") == ["<a", "ab", "bc", "c>", "<ab", "abc", "bc>", "<abc", "abc>"]
+    words = ["a", "ab", "abc", "Übung", "日本"]
+    assert quality.feature_count(words) == sum(len(quality.features(w)) for w in words)
