@@ -16,6 +16,7 @@ from llm import (
     simhash,
     toxicity,
     urls,
+    whitening,
 )
 from llm.common import held_out, table
 
@@ -126,6 +127,26 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    error = whitening.identity_error(vectors, model)
+    found = vectors.select("vec_id", whitening.whitened(model).alias("found"))
+    found = found.select(
+        "vec_id", "found.deviation", F.posexplode("found.whitened").alias("place", "whitened")
+    )
+    explained = F.array(*map(F.lit, model.explained)) if model.explained else F.lit(None).cast("array<double>")
+    return found.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("place")).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -137,6 +158,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_urls": op9_urls,
     "op10_fingerprints": op10_fingerprints,
+    "op11_whitening": op11_whitening,
 }
 
 #: What SQL can express of them.
