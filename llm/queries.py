@@ -10,6 +10,7 @@ from llm import (
     fingerprints,
     lattice,
     licenses,
+    merkle,
     packing,
     pii,
     quality,
@@ -147,6 +148,95 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = {name: F.col(name) for name in merkle.FIELDS}
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    changed = merkle.leaf([*{**fields, "n_chars": more}.values()])
+    tampered = held_out(F.col("doc_id"), 7, 0) & F.col("n_chars").isNotNull()
+    carried = {"doc_id": F.col("doc_id"), "changed": F.when(tampered, changed)}
+    found = merkle.manifest(docs, carried)
+    seen = F.coalesce("changed", "leaf")
+    found = found.withColumn("folded_root", merkle.folded(seen, F.col("path")))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.digest(merkle.proof(F.col("path"))).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+#: The same from recursive queries on lists. The crc32 goes over a number's bits.
+OP12_SQL = """
+WITH RECURSIVE bits AS (
+  SELECT *, list_reduce(
+      flatten([[(ascii(c)::BIGINT >> k) & 1 FOR k IN range(8)]
+               FOR c IN string_split(doc_id::VARCHAR, '')]),
+      lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295::BIGINT) AS crc
+  FROM documents
+), texts AS (
+  SELECT doc_id, lang, coalesce((4294967295 - crc) % 7 = 0, false) AS tampered, n_chars,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+      || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM bits
+), leaves AS (
+  SELECT doc_id, lang,
+    sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen((n_chars + tampered::INT)::VARCHAR) || ':'
+      || (n_chars + tampered::INT), '-') || tail) AS seen
+  FROM texts
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+  FROM leaves
+), up AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY place) AS nodes FROM numbered GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1,
+    [sha256(nodes[i] || coalesce(nodes[i + 1], '')) FOR i IN range(1, len(nodes) + 1, 2)]
+  FROM up WHERE len(nodes) > 1
+), subroots AS (
+  SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS top
+  FROM up WHERE len(nodes) = 1
+), roof AS (
+  SELECT 0 AS level, list(subroot ORDER BY top) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1,
+    [sha256(nodes[i] || coalesce(nodes[i + 1], '')) FOR i IN range(1, len(nodes) + 1, 2)]
+  FROM roof WHERE len(nodes) > 1
+), trees AS (
+  SELECT lang, list(nodes ORDER BY level) FILTER (len(nodes) > 1) AS levels FROM up GROUP BY lang
+), roofs AS (
+  SELECT list(nodes ORDER BY level) FILTER (len(nodes) > 1) AS levels,
+    max(nodes[1]) FILTER (len(nodes) = 1) AS root
+  FROM roof
+), steps AS (
+  SELECT n.doc_id, n.leaf, n.seen, s.subroot, r.root, list_concat(
+    [[coalesce(t.levels[k + 1][xor(n.place >> k, 1) + 1], ''), ((n.place >> k) & 1)::VARCHAR]
+     FOR k IN range(coalesce(len(t.levels), 0))],
+    [[coalesce(r.levels[k + 1][xor(s.top >> k, 1) + 1], ''), ((s.top >> k) & 1)::VARCHAR]
+     FOR k IN range(coalesce(len(r.levels), 0))]) AS path
+  FROM numbered n
+  JOIN subroots s ON s.lang IS NOT DISTINCT FROM n.lang
+  JOIN trees t ON t.lang IS NOT DISTINCT FROM n.lang
+  CROSS JOIN roofs r
+), ends AS (
+  SELECT *, list_reduce(
+      [CASE WHEN x[2] = '1' THEN x[1] || '@' ELSE '@' || x[1] END FOR x IN path],
+      lambda node, x: sha256(replace(x, '@', node)), seen) AS folded_root
+  FROM steps
+)
+SELECT doc_id, leaf, subroot, root,
+  sha256(coalesce(list_aggregate([x[1] FOR x IN path], 'string_agg', ''), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified
+FROM ends
+"""
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -159,7 +249,8 @@ QUERIES = {
     "op9_urls": op9_urls,
     "op10_fingerprints": op10_fingerprints,
     "op11_whitening": op11_whitening,
+    "op12_merkle": op12_merkle,
 }
 
 #: What SQL can express of them.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_merkle": OP12_SQL}
