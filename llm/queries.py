@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from llm import (
     decontamination,
     fingerprints,
+    languages,
     lattice,
     licenses,
     merkle,
@@ -169,6 +170,17 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 3, 1)
+    found = languages.identified(languages.fit(docs, out))
+    docs = docs.select("doc_id", out.alias("held_out"), found.alias("found"))
+    spans = F.size("found.spans").alias("n_spans")
+    return docs.select(
+        "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score"), spans
+    )
+
+
 #: The same from recursive queries on lists. The crc32 goes over a number's bits.
 OP12_SQL = """
 WITH RECURSIVE bits AS (
@@ -250,6 +262,7 @@ QUERIES = {
     "op10_fingerprints": op10_fingerprints,
     "op11_whitening": op11_whitening,
     "op12_merkle": op12_merkle,
+    "op13_languages": op13_languages,
 }
 
 #: What SQL can express of them.

@@ -23,7 +23,7 @@ def test_stages_in_order():
 
 def test_queries_are_registered():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert {*QUERIES, "pipeline"} <= set(names)
 
 
