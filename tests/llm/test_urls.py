@@ -1,12 +1,18 @@
 """URL filter: rules against brute force, and the models on planted URLs."""
 
 import random
+from collections import Counter
+from functools import cache
+from math import log
 from urllib.parse import quote
+from zlib import crc32
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from llm import urls
+from llm.queries import op9_urls
 
 
 def brute(url):
@@ -73,28 +79,122 @@ def test_models_judge_what_no_rule_does(spark):
     assert sum((r.verdict == "allow") == truth[r.page_id] for r in free) >= 590
 
 
-def test_a_model_s_chances_sum_to_one(spark):
-    judged = spark.createDataFrame([(u, k) for _, u, k in made(200, 2)], "url string, allow boolean")
-    model = urls.fit(judged).allowed
-    signs = [chr(b) for b in range(256)] + [urls.END]
+class Markov:
+    """Witten-Bell over dictionaries of all counts, nothing left out."""
+
+    def __init__(self, urls_):
+        self.follow = {}
+        for url in urls_:
+            padded = urls.END * urls.ORDER + urls.symbols(url)
+            for i in range(urls.ORDER, len(padded)):
+                for n in range(urls.ORDER + 1):
+                    after = self.follow.setdefault(padded[i - n : i], Counter())
+                    after[padded[i]] += 1
+
+    def chance(self, context, symbol):
+        likely = 1 / urls.SYMBOLS
+        for n in range(len(context), -1, -1):
+            after = self.follow.get(context[n:])
+            if after is None:
+                break
+            seen, kinds = after.total(), len(after)
+            likely = (after.get(symbol, 0) + kinds * likely) / (seen + kinds)
+        return likely
+
+
+def plain_differences(pages, judged):
+    """For each URL of ``pages``, from models of (url, allow) pairs."""
+    accepted, rejected = (Markov([u for u, a in judged if a is k]) for k in (True, False))
+
+    @cache
+    def difference(window):
+        chances = (m.chance(window[:-1], window[-1]) for m in (accepted, rejected))
+        return round((log(next(chances)) - log(next(chances))) * urls.UNIT)
+
+    def of(url):
+        text = urls.symbols(url)
+        return sum(map(difference, urls.windows(text))) / urls.UNIT / len(text)
+
+    kinds = {a for _, a in judged}
+    return {url: of(url) if len(kinds) == 2 else 0.0 for url in pages}
+
+
+def plain_verdicts(pages):
+    """(difference, verdict) of each URL of a list, by plain models and histograms."""
+    ruled = [(u, brute(u)[3]) for u in pages]
+    last = lambda u: u is not None and crc32(u.encode()) % urls.FOLDS == 0
+    judged = [(u, v == "allow") for u, v in ruled if v]
+    found = plain_differences(set(pages), [x for x in judged if not last(x[0])])
+    seen = np.zeros((2, urls.BINS))
+    for url, allow in judged:
+        if last(url):
+            place = int((found[url] + urls.REACH) * (urls.BINS / (2 * urls.REACH)))
+            seen[int(allow), min(max(place, 0), urls.BINS - 1)] += 1
+    slope, shift = urls.calibrated(seen)
+    own = {u: "allow" if found[u] * slope + shift >= 0 else "block" for u in found}
+    return {u: (found[u], v or own[u]) for u, v in ruled}
+
+
+def test_a_plain_model_s_chances_sum_to_one():
+    model = Markov([u for _, u, k in made(200, 2) if k])
     for context in ("", "http:", "zzzzz", "en/1\n"):
-        total = sum(model.chance(context, s) for s in set(signs))
+        total = sum(model.chance(context, s) for s in {*map(chr, range(256)), urls.END})
         assert total == pytest.approx(1, abs=0.01)
 
 
-def test_counts_are_of_all_urls(spark):
+def test_query_against_plain_models(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url").collect()
+    expected = plain_verdicts([r.url for r in pages])
+    own = {r.page_id: r.url for r in pages}
+    found = op9_urls(spark, sf_dir).collect()
+    assert sorted(r.page_id for r in found) == sorted(own)
+    for r in found:
+        assert (r.host, r.path, r.rule) == brute(own[r.page_id])[:3]
+        assert r.verdict == expected[own[r.page_id]][1]
+
+
+@pytest.mark.parametrize("copies", [0, 20_000])
+def test_hot_urls_against_plain_models(spark, monkeypatch, copies):
+    """One accepted and one rejected URL hold nearly all rows; no n-gram is left out."""
+    monkeypatch.setattr(urls, "FREQUENT", 50)
+    monkeypatch.setattr(urls, "HELD", 3_000)
+    own = [u for _, u, _ in made(400, 4)] + ["http://" + "é" * 30 + ".info/Q?x=1", "", None, "http://a.b/\U0001f600"]
+    hot = ["http://sub.example.net/en/hot-page", "http://hot.net/index.html"]
+    kept = spark.createDataFrame([(u,) for u in own], "url string")
+    many = spark.range(copies).select(F.when(F.col("id") % 2 == 0, hot[0]).otherwise(hot[1]).alias("url"))
+    found = urls.judge(kept.union(many)).distinct().collect()
+    expected = plain_verdicts(own + hot * (copies // 2))
+    assert {r.url for r in found} == set(expected)
+    for r in found:
+        difference, verdict = expected[r.url]
+        assert r.difference == pytest.approx(difference, abs=1e-8)
+        assert r.verdict == verdict
+
+
+def test_counts_are_of_all_urls(spark, monkeypatch):
+    monkeypatch.setattr(urls, "HELD", 1)
     rows = [("ab", True), ("ab", True), (None, True), ("é", False)]
     judged = spark.createDataFrame(rows, "url string, allow boolean")
-    found = {(r.gram, r.allow): r.n for r in urls.counts(judged).collect()}
-    assert found["a", True] == 2
-    assert found["ab", True] == 2
-    assert found[urls.END, True] == 3
-    assert found[urls.symbols("é")[:2], False] == 1
+    found = {(r.gram, r.allow): r.n for r in urls.window_counts(judged, "allow").collect()}
+    start = urls.END * urls.ORDER
+    assert found[start + "a", True] == 2
+    assert found[start[1:] + "ab", True] == 2
+    assert found[start + urls.END, True] == 1
+    assert found[start[1:] + urls.symbols("é")[:2], False] == 1
+    assert sum(found.values()) == 3 + 3 + 1 + 3
 
 
 def test_no_rows_and_odd_rows(spark):
     none = spark.createDataFrame([], "page_id int, url string, host int, chance string")
     assert urls.judge(none).collect() == []
-    rows = [(1, None), (1, None), (2, "x" * 200_000), (3, f"http://a.b/{quote('ü')}"), (3, "http://a.b/ü")]
-    pages = spark.createDataFrame(rows, "page_id int, url string").withColumn("host", F.lit(5))
-    assert urls.judge(pages).count() == 5
+    rows = [(1, None), (1, None), (2, "x" * 200_000), (3, f"http://a.b/{quote('ü')}"), (3, "http://a.b/ü"), (None, "")]
+    pages = spark.createDataFrame(rows, "page_id int, url string")
+    names = ("host", "path", "rule", "verdict", "difference", "chance", "_row", "gram", "n", "allow")
+    pages = pages.withColumns({c: F.lit(5) for c in names})
+    found = urls.judge(pages)
+    assert sorted(found.columns) == sorted(pages.columns)
+    found = found.collect()
+    assert len(found) == 6
+    assert {(r["_row"], r.gram, r.n, r.allow) for r in found} == {(5, 5, 5, 5)}
+    # Nothing was learned, so no URL is liked more, and ties are allowed.
+    assert {(r.difference, r.chance, r.verdict) for r in found} == {(0.0, 0.5, "allow")}
