@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of partial sums that the driver takes.
+SENT = 1 << 23
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -16,19 +23,30 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
     Only where that is unset, and Spark runs on this machine alone, a folder in /tmp
-    takes its place.
+    takes its place. On a cluster a folder of the driver's own machine is refused.
     """
     context = spark.sparkContext
+    alone = context.master.startswith("local")
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not alone:
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    if not alone and _of_one_machine(spark, folder):
+        raise ValueError(f"executors can't share {folder}")
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith(("local[", "local-cluster[")):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
+def _of_one_machine(spark: SparkSession, folder: str) -> bool:
+    scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", folder)
+    if scheme is None:
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+        scheme = re.match(r"([^:]*):", default or "file:")
+    return scheme.group(1).lower() == "file"
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder that a job has made and no later one reads."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -66,7 +84,10 @@ def labelled_sample(
     """(text, label) of at most ``rows`` labelled rows that ``kept_out`` doesn't hold.
 
     Ids are taken in order of a hash, so a sample is the same at every run; an id
-    with two labels has the larger. As the sample is bounded, it is broadcast.
+    with two labels has the larger. Equal texts of one label are one row, made so in
+    each task before they meet, and of an id's many texts only so many are taken that
+    the sample stays bounded; then the order is that of a hash of the text. As the
+    ids are bounded, they are broadcast.
     """
     known = labels.where(F.col(name).isNotNull() & F.col("doc_id").isNotNull() & ~kept_out)
     known = known.groupBy(F.col("doc_id").cast("long").alias("_labelled"))
@@ -74,4 +95,31 @@ def labelled_sample(
     known = known.orderBy(F.xxhash64("_labelled"), "_labelled").limit(rows)
     same = F.col("doc_id").cast("long") == F.col("_labelled")
     found = docs.select("doc_id", "text").join(F.broadcast(known), same)
-    return found.select("text", F.col("_label").alias("label"))
+    found = found.select("text", F.col("_label").alias("label")).distinct()
+    mark = F.xxhash64("text", "label")
+    return found.withColumn("_mark", mark).orderBy("_mark", "text", "label").limit(rows).drop("_mark")
+
+
+def summed(arrays: DataFrame, size: int) -> np.ndarray:
+    """The sum of ``arrays`` (sum binary, ``size`` doubles each), one row a task.
+
+    Many are added in ever fewer tasks, each of which holds two at a time, so the
+    driver is sent ``SENT`` bytes at most, or one array. No rows give zeros.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for own in batch.column(0):
+                total += np.frombuffer(own.as_buffer())
+        yield pa.RecordBatch.from_pydict({"sum": [total.tobytes()]})
+
+    most = max(1, min(64, SENT // (8 * size + 1)))
+    count = arrays.rdd.getNumPartitions()
+    while count > most:
+        count = max(count // 64, 1) if count > 64 * most else most
+        arrays = arrays.repartition(count).mapInArrow(add, "sum binary")
+    total = np.zeros(size)
+    for row in arrays.collect():
+        total += np.frombuffer(bytes(row["sum"]))
+    return total

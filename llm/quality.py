@@ -10,7 +10,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import labelled_sample
@@ -150,9 +150,10 @@ def train(
 def fit(
     docs: DataFrame, labels: DataFrame, kept_out: Column, rows: int = LABELLED_ROWS
 ) -> Classifier:
-    """A classifier from at most ``rows`` labelled documents, whole texts of them.
+    """A classifier from at most ``rows`` distinct labelled texts, whole ones.
 
-    Rows that ``kept_out`` holds teach nothing. Without labels every score is 0.5.
+    A text teaches once, however often it is repeated. Rows that ``kept_out`` holds
+    teach nothing. Without labels every score is 0.5.
     """
     sample = labelled_sample(docs, labels, "quality", kept_out, rows)
 
@@ -176,17 +177,16 @@ def fit(
     return train(pairs, np.array([int(r["label"] > 0) for r in found]))
 
 
-def score(spark: SparkSession, classifier: Classifier) -> Column:
+def score(classifier: Classifier) -> Column:
     """The score, 0 to 1, of the column ``text``.
 
     Each row is scored by its text alone: repeated rows, null ids and other columns
     make no difference; a null text is like an empty one.
     """
-    sent = spark.sparkContext.broadcast(classifier)  # of a fixed size
 
     def of_texts(batches):
         for texts in batches:
-            yield pd.Series(list(sent.value.scores(texts)), dtype="float64")
+            yield pd.Series(list(classifier.scores(texts)), dtype="float64")
 
     of_texts.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(of_texts, "double")("text")

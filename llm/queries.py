@@ -33,7 +33,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = held_out(F.col("doc_id"), 5, 0)
     model = toxicity.fit(docs, labels, out)
-    score = toxicity.score(spark, model).alias("score")
+    score = toxicity.score(model).alias("score")
     found = docs.select("doc_id", out.alias("held_out"), score)
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
@@ -84,7 +84,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = held_out(F.col("doc_id"), 3, 1)
     model = quality.fit(docs, labels, out)
-    score = quality.score(spark, model).alias("score")
+    score = quality.score(model).alias("score")
     found = docs.select("doc_id", out.alias("held_out"), score)
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 

@@ -6,35 +6,47 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import labelled_sample, stored
+from llm.common import labelled_sample, stored, summed
 
-# Common English insults, the lexicon to start from.
+# Common insults in English, German, French and Spanish, the lexicon
+# to start from.
 INSULTS = (
     "asshole", "bastard", "bitch", "clown", "coward", "crap", "creep", "cretin",
     "disgusting", "dumb", "fool", "freak", "garbage", "idiot", "imbecile", "jerk",
     "liar", "loser", "lowlife", "moron", "parasite", "pathetic", "pig", "scum",
     "shit", "stupid", "trash", "ugly", "vermin", "worthless",
+    "abschaum", "arschloch", "depp", "dummkopf", "hurensohn", "missgeburt", "scheiße",
+    "schlampe", "trottel", "vollidiot", "wichser",
+    "abruti", "connard", "connasse", "crétin", "débile", "enculé", "merde", "ordure",
+    "pourriture", "salaud", "salope",
+    "basura", "cabrón", "cretino", "escoria", "gilipollas", "imbécil", "inútil",
+    "mierda", "pendejo", "puta", "zorra",
 )
 
 #: Labelled rows that are learned from, at most.
 LABELLED_ROWS = 10_000
-#: Other rows that the classifier learns from by their posterior labels, about.
-OTHER_ROWS = 5_000
 #: Learned lexicon entries, at most; with the patterns they fit into 62 bits.
 LEARNED = 54
+#: Words and beginnings that the classifier weighs, at most, the fixed lexicon aside.
+FEATURES = 4_096
+#: An entry's share of toxic texts against its share of others, at least.
+LIFT = 4.0
 LEAST_TEXTS = 4
-PREFIXES = (4, 5, 6)
-BUCKETS = 1 << 18
-GAP_SHARE = 0.4
+PREFIXES = (3, 4, 5, 6)
 STEPS = 4
+#: Steps of the classifier's training, and its pull to zero.
+ITERATIONS, PULL = 60, 1e-4
+#: What a known label says against the label model.
+KNOWN = 0.98
+#: Patterns that are one row of numbers.
+BLOCK = 4_096
 WORD = re.compile(r"[^\W\d_]+")
 CACHED_WORDS = 300_000
 
@@ -50,37 +62,48 @@ def stems(word: str) -> list[str]:
 
 @dataclass
 class Voters:
-    """Bits of a vote: one for each lexicon entry, then the patterns."""
+    """What is read of a text: which features its words have, and how often.
 
-    lexicon: dict[str, int]
+    Feature i is an entry of ``features``; the first ``learned`` of them, and the
+    patterns, are bits of its vote.
+    """
+
+    features: dict[str, int]
+    learned: int
 
-    #: Patterns: insults among the words; two entries; one word in 50; none of them.
-    PATTERNS = 4
+    #: Patterns: insults among the words; two marked words; three; one in 50; none.
+    PATTERNS = 5
 
     def count(self) -> int:
-        return len(self.lexicon) + self.PATTERNS
+        return self.learned + self.PATTERNS
 
-    def vote(self, words: set[str], cache: dict[str, tuple]) -> int:
-        hits, marked = 0, 0
+    def read(self, words: set[str], cache: dict[str, tuple]) -> tuple[int, bytes]:
+        """The vote, and the sorted numbers of the features of all words."""
+        hits, marked, found = 0, 0, []
         for word in words:
-            found = cache.get(word)
-            if found is None:
-                own = [self.lexicon[s] for s in stems(word) if s in self.lexicon]
-                found = cache[word] = (sum(1 << i for i in own), bool(own))
-            hits |= found[0]
-            marked += found[1]
-        n = len(self.lexicon)
+            known = cache.get(word)
+            if known is None:
+                own = [self.features[s] for s in stems(word) if s in self.features]
+                bits = sum(1 << i for i in own if i < self.learned)
+                known = cache[word] = (bits, bits > 0, own)
+            if known[2]:
+                hits |= known[0]
+                marked += known[1]
+                found += known[2]
+        n = self.learned
         insult = not words.isdisjoint(INSULTS)
         dense = marked * 50 >= len(words) > 0
-        signs = (insult, marked >= 2, dense and marked > 0, marked == 0)
-        return hits | sum(1 << (n + i) for i, x in enumerate(signs) if x)
+        signs = (insult, marked >= 2, marked >= 3, dense and marked > 0, marked == 0)
+        vote = hits | sum(1 << (n + i) for i, x in enumerate(signs) if x)
+        return vote, np.array(sorted(found), "<u2").tobytes()
 
 
-def learned_lexicon(sample: DataFrame, entries: int = LEARNED) -> list[str]:
+def learned_features(sample: DataFrame, entries: int = LEARNED, features: int = FEATURES) -> Voters:
     """Words and beginnings of words that tell toxic labels, from all of a sample.
 
-    An entry stands in one of 50 toxic texts, at least in ``LEAST_TEXTS``, and in
-    few others for that. Of entries that begin alike the most frequent is taken.
+    A feature is ``LIFT`` times as frequent among toxic texts as among others.
+    Lexicon entries are those in one of 50 toxic texts, at least in ``LEAST_TEXTS``, whose
+    counts are the least likely by chance; of entries that begin alike one is taken.
     """
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,16 +118,27 @@ def learned_lexicon(sample: DataFrame, entries: int = LEARNED) -> list[str]:
 
     counts = sample.select("text", "label").mapInArrow(tally, "stem string, t long, c long")
     counts = counts.groupBy("stem").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    toxic_texts = sample.where("label > 0").count()
-    least = max(LEAST_TEXTS, toxic_texts / 50)
-    precise = counts.where((F.col("t") >= least) & (F.col("t") >= 19 * F.col("c")))
-    top = precise.orderBy(F.desc("t"), F.length("stem"), "stem").limit(20 * entries).collect()
-    chosen: list[str] = []
+    toxic = F.col("label") > 0
+    texts = sample.agg(F.count_if(toxic), F.count_if(~toxic)).first()
+    n_t, n_c = max(texts[0], 1), max(texts[1], 1)
+    share_t, share_c = (F.col("t") + 0.5) / (n_t + 1), (F.col("c") + 0.5) / (n_c + 1)
+    share = (F.col("t") + F.col("c") + 0.5) / (n_t + n_c + 1)
+
+    def unlikely(n, of, own):
+        return n * F.log(own / share) + (F.lit(of) - n) * F.log((1 - own) / (1 - share))
+
+    told = counts.where((F.col("t") >= 2) & (share_t >= LIFT * share_c))
+    by = unlikely(F.col("t"), n_t, share_t) + unlikely(F.col("c"), n_c, share_c)
+    top = told.withColumn("by", by).orderBy(F.desc("by"), F.length("stem"), "stem")
+    top = top.limit(features).collect()
+    least, chosen = max(LEAST_TEXTS, n_t / 50), []
     for row in top:
         begun = row["stem"].rstrip("*")
-        if not any(begun.startswith(x.rstrip("*")) or x.startswith(begun) for x in chosen):
+        again = any(begun.startswith(x.rstrip("*")) or x.startswith(begun) for x in chosen)
+        if row["t"] >= least and not again and len(chosen) < entries:
             chosen.append(row["stem"])
-    return chosen[:entries]
+    names = dict.fromkeys([*chosen, *(row["stem"] for row in top), *INSULTS])
+    return Voters({name: i for i, name in enumerate(names)}, len(chosen))
 
 
 @dataclass
@@ -170,82 +204,131 @@ def weighted_sums(patterns: DataFrame, n: int, model: LabelModel | None) -> np.n
     return sums.reshape(2, n + 1, n + 1)
 
 
-def label_model(
-    docs: DataFrame, sample: DataFrame, voters: Voters, steps: int = STEPS
-) -> LabelModel:
-    """Expectation-maximisation over the votes on all ``docs``, labels or not.
+def label_model(votes: DataFrame, count: int, steps: int = STEPS) -> LabelModel:
+    """Expectation-maximisation over ``votes`` (votes, label, n), labels or not.
 
-    It starts from the labelled sample, whose labels stay as they are. Documents
-    with the same votes are one row.
+    It starts from the labelled rows, whose labels stay as they are.
     """
+    model = LabelModel.of(weighted_sums(votes, count, None))
+    for _ in range(steps):
+        model = LabelModel.of(weighted_sums(votes, count, model))
+    return model
+
+
+def patterns(docs: DataFrame, voters: Voters) -> DataFrame:
+    """(votes, features, label, n) of ``docs`` (text, label): alike texts are one row."""
 
-    def cast(texts: pd.Series) -> pd.Series:
+    def of_texts(texts: pd.Series) -> pd.DataFrame:
         cache: dict[str, tuple] = {}
-        votes = []
+        rows = []
         for text in texts:
-            if len(cache) > CACHED_WORDS:
+            words = words_of(text)
+            if len(cache) + len(words) > CACHED_WORDS:
                 cache.clear()
-            votes.append(voters.vote(words_of(text), cache))
-        return pd.Series(votes, dtype="int64")
-
-    vote = F.pandas_udf(cast, "long")("text").alias("votes")
-    rows = docs.select(vote, F.lit(-1).alias("label"))
-    rows = rows.unionByName(sample.select(vote, "label"))
-    patterns = stored(rows.groupBy("votes", "label").agg(F.count("*").alias("n")))
-    model = LabelModel.of(weighted_sums(patterns, voters.count(), None))
-    for _ in range(steps):
-        model = LabelModel.of(weighted_sums(patterns, voters.count(), model))
-    return model
+            rows.append(voters.read(words, cache))
+        return pd.DataFrame(rows, columns=["votes", "features"])
 
+    read = F.pandas_udf(of_texts, "votes long, features binary")("text")
+    rows = docs.select(read.alias("read"), "label").select("read.*", "label")
+    return rows.groupBy("votes", "features", "label").agg(F.count("*").alias("n"))
 
-def features(word: str) -> list[int]:
-    """Hashed places of a word and its beginnings."""
-    return [crc32(s.encode()) % BUCKETS for s in stems(word)]
 
+def blocks(rows: DataFrame, model: LabelModel, count: int) -> DataFrame:
+    """``rows`` of ``patterns`` with their targets, as arrays of ``BLOCK`` rows."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), BLOCK):
+                part = batch.slice(at, BLOCK)
+                features = part.column(1).to_pylist()
+                likely = model.posterior(unpacked(part.column(0).to_numpy(), count))
+                known = part.column(2).to_numpy().astype(float)
+                target = np.where(known < 0, likely, KNOWN * known + (1 - KNOWN) * likely)
+                n = part.column(3).to_numpy().astype(float)
+                sizes = np.array([len(x) // 2 for x in features], np.int64)
+                arrays = (b"".join(features), sizes.tobytes(), target.tobytes(), n.tobytes())
+                names = ("features", "sizes", "target", "n")
+                yield pa.RecordBatch.from_pydict(
+                    {k: pa.array([v], pa.large_binary()) for k, v in zip(names, arrays, strict=True)}
+                )
+
+    schema = "features binary, sizes binary, target binary, n binary"
+    return rows.select("votes", "features", "label", "n").mapInArrow(gather, schema)
+
+
+def _sums(rows: DataFrame, size: int, use) -> np.ndarray:
+    """Sum over all blocks of what ``use`` adds to ``size`` numbers."""
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for features, sizes, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                sizes = np.frombuffer(sizes, np.int64)
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                use(total, np.frombuffer(features, "<u2"), row, *map(np.frombuffer, rest))
+        yield pa.RecordBatch.from_pydict({"sum": [total.tobytes()]})
+
+    return summed(rows.mapInArrow(of_task, "sum binary"), size)
 
-def train(ids: list[np.ndarray], targets: np.ndarray, epochs: int = 12) -> tuple:
-    """Weights and bias of a logistic regression on soft labels, by AdaGrad.
 
-    Words speak for toxicity or say nothing: weights are not negative, so clean text
-    around an insult does not outweigh it. At the end the bias takes up a part of
-    the gap that the clean rows leave below one half.
+def train(rows: DataFrame, features: int, iterations: int = ITERATIONS) -> tuple[np.ndarray, float]:
+    """Weights and bias of a logistic regression on soft labels, over all ``blocks``.
+
+    Each step sums the gradients of all rows in their tasks. Its size goes by a bound
+    of the curvature, and momentum speeds it up. Words speak for toxicity or say
+    nothing: weights are not negative, so clean text around an insult doesn't outweigh
+    it.
     """
-    weights, seen, bias = np.zeros(BUCKETS), np.full(BUCKETS, 1e-3), 0.0
-    order = np.random.default_rng(7)
-    for _ in range(epochs if len(ids) else 0):
-        for batch in np.array_split(order.permutation(len(ids)), -(-len(ids) // 64)):
-            rows = [ids[i] for i in batch]
-            lengths = np.array([len(r) for r in rows])
-            flat, row = np.concatenate(rows), np.repeat(np.arange(len(rows)), lengths)
-            score = np.bincount(row, weights[flat], len(rows)) + bias
-            error = 1 / (1 + np.exp(-np.clip(score, -30, 30))) - targets[batch]
-            places, inverse = np.unique(flat, return_inverse=True)
-            slope = np.bincount(inverse, error[row]) / len(rows) + 1e-6 * weights[places]
-            seen[places] += slope**2
-            stepped = weights[places] - 0.1 * slope / np.sqrt(seen[places])
-            weights[places] = np.maximum(stepped, 0.0)
-            bias -= 0.1 * error.mean()
-    clean = [weights[r].sum() + bias for r, t in zip(ids, targets, strict=True) if t < 0.5]
-    gap = -float(np.quantile(clean, 0.999)) if clean else 0.0
-    return weights.astype(np.float32), float(bias + GAP_SHARE * max(0.0, gap))
+
+    def curvature(total, flat, row, target, n):
+        width = np.bincount(row, minlength=len(n)) + 1.0
+        total[:features] += np.bincount(flat, (n * width)[row], features)
+        total[features] += (n * width).sum()
+        total[features + 1] += n.sum()
+
+    bound = _sums(rows, features + 2, curvature)
+    total = max(bound[-1], 1.0)
+    size = 1 / (0.25 * bound[:-1] / total + PULL)
+    place = before = np.zeros(features + 1)
+    momentum = 1.0
+    for _ in range(iterations if bound[-1] else 0):
+        at = place
+
+        def slope(total, flat, row, target, n):
+            odds = np.bincount(row, at[flat], len(n)) + at[features]  # noqa: B023
+            error = n * (1 / (1 + np.exp(-np.clip(odds, -30, 30))) - target)
+            total[:features] += np.bincount(flat, error[row], features)
+            total[features] += error.sum()
+
+        down = _sums(rows, features + 1, slope) / total
+        down[:features] += PULL * at[:features]
+        now = at - size * down
+        now[:features] = np.maximum(now[:features], 0.0)
+        faster = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        if ((at - now) * (now - before)).sum() > 0:  # it went past the valley
+            faster = 1.0
+        place = now + (momentum - 1) / faster * (now - before)
+        before, momentum = now, faster
+    return before[:features], float(before[features])
 
 
 @dataclass
 class Classifier:
-    weights: np.ndarray
+    """Weights of words and beginnings of words that are over zero."""
+
+    weights: dict[str, float]
     bias: float
 
     def scores(self, texts) -> Iterator[float]:
         """Probability that a text is toxic; null is like empty."""
         cache: dict[str, float] = {}
-        weights = self.weights.tolist()
+        known = self.weights.get
         for text in texts:
             words = words_of(text)
             if len(cache) + len(words) > CACHED_WORDS:
                 cache.clear()
-            for word in words:
-                if word not in cache:
-                    cache[word] = sum(weights[i] for i in features(word))
+            for word in words.difference(cache):
+                cache[word] = sum(known(s, 0.0) for s in stems(word))
             odds = self.bias + sum(map(cache.__getitem__, words))
             yield 1 / (1 + float(np.exp(-min(max(odds, -30.0), 30.0))))
 
@@ -255,54 +338,36 @@ def fit(
 ) -> Classifier:
     """A classifier for ``docs``, from labels of rows that ``kept_out`` doesn't hold.
 
-    The label model sees the votes on all documents. The linear classifier is
-    trained on its posterior labels of at most ``rows`` labelled documents, where
-    the known label has 98 % of the say, and of about ``OTHER_ROWS`` others. Without
-    labels of both classes, only the fixed lexicon speaks.
+    Labels come from at most ``rows`` distinct labelled texts. The label model sees the
+    votes on all documents, and the linear classifier is trained on its posterior
+    labels of all of them; where a label is known, it has 98 % of the say. Alike
+    documents are one weighed row. Without labels of both classes, only the fixed
+    lexicon speaks.
     """
     sample = stored(labelled_sample(docs, labels, "toxic", kept_out, rows))
-    lexicon = learned_lexicon(sample)
-    voters = Voters({s: i for i, s in enumerate(lexicon)})
-    model = label_model(docs, sample, voters)
-    count = voters.count()
-
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            words = [words_of(t) for t in batch["text"]]
-            votes = unpacked(np.array([voters.vote(w, {}) for w in words], "int64"), count)
-            likely = model.posterior(votes)
-            known = batch["label"].to_numpy(float)
-            both = np.where(known < 0, likely, 0.98 * known + 0.02 * likely)
-            ids = [np.array([i for x in sorted(w) for i in features(x)], "<i4") for w in words]
-            yield pd.DataFrame({"ids": [x.tobytes() for x in ids], "target": both})
-
-    share = OTHER_ROWS / max(docs.count(), 1)
-    mark = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))
-    others = docs.where(mark).select("text", F.lit(-1).alias("label"))
-    taught = sample.unionByName(others)
-    found = taught.mapInPandas(learn, "ids binary, target double").collect()  # bounded
-    # The order of rows is no part of the result.
-    found.sort(key=lambda r: (bytes(r["ids"]), r["target"]))
-    ids = [np.frombuffer(r["ids"], "<i4") for r in found]
-    targets = np.array([r["target"] for r in found])
+    sample = sample.withColumn("label", (F.col("label") > 0).cast("int"))
     if sample.select("label").distinct().count() < 2:
-        weights = np.zeros(BUCKETS, np.float32)
-        weights[[features(word)[0] for word in INSULTS]] = 4.0
-        return Classifier(weights, -2.0)
-    return Classifier(*train(ids, targets))
-
-
-def score(spark: SparkSession, classifier: Classifier) -> Column:
+        return Classifier(dict.fromkeys(INSULTS, 4.0), -2.0)
+    voters = learned_features(sample)
+    every = docs.select("text", F.lit(-1).alias("label")).unionByName(sample)
+    read = stored(patterns(every, voters))
+    votes = stored(read.groupBy("votes", "label").agg(F.sum("n").alias("n")))
+    model = label_model(votes, voters.count())
+    weights, bias = train(stored(blocks(read, model, voters.count())), len(voters.features))
+    own = {name: float(weights[i]) for name, i in voters.features.items() if weights[i] > 0}
+    return Classifier(own, bias)
+
+
+def score(classifier: Classifier) -> Column:
     """The score, 0 to 1, of the column ``text``.
 
     Each row is scored by its text alone, so repeated rows, ties, null ids and other
     columns make no difference; empty and null texts have the score of no words.
     """
-    sent = spark.sparkContext.broadcast(classifier)  # of a fixed size
 
     def of_texts(batches):
         for texts in batches:
-            yield pd.Series(list(sent.value.scores(texts)), dtype="float64")
+            yield pd.Series(list(classifier.scores(texts)), dtype="float64")
 
     of_texts.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(of_texts, "double")("text")

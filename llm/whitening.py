@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import partitions, stored
+from llm.common import stored, summed
 
 #: An entry c becomes the whole number floor(STEPS * c) + SHIFT.
 STEPS, SHIFT = 1024, 100_000
@@ -163,25 +163,6 @@ class Whitening:
         return self.centred(x) @ (self.components / np.sqrt(self.values))
 
 
-def _summed(matrices: DataFrame, size: int) -> np.ndarray:
-    """The sum of ``matrices`` (sum binary), first in many tasks, then in one.
-
-    A task holds two matrices at a time, the driver is sent one.
-    """
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size * size)
-        for batch in batches:
-            for own in batch.column(0):
-                total += np.frombuffer(own.as_buffer())
-        yield pa.RecordBatch.from_pydict({"sum": [total.tobytes()]})
-
-    for count in (partitions(matrices.sparkSession), 1):
-        matrices = matrices.repartition(count).mapInArrow(add, "sum binary")
-    (row,) = matrices.collect()
-    return np.frombuffer(bytes(row["sum"])).reshape(size, size)
-
-
 def _scatter(vectors: DataFrame, length: int, size: int, use) -> np.ndarray:
     """Sum of the outer products of the rows ``use`` makes of whole numbers."""
 
@@ -194,7 +175,8 @@ def _scatter(vectors: DataFrame, length: int, size: int, use) -> np.ndarray:
                     total += rows.T @ rows
         yield pa.RecordBatch.from_pydict({"sum": [total.tobytes()]})
 
-    return _summed(vectors.mapInArrow(of_task, "sum binary"), size)
+    found = summed(vectors.mapInArrow(of_task, "sum binary"), size * size)
+    return found.reshape(size, size)
 
 
 def _totals(vectors: DataFrame) -> tuple[int, list[int]]:
@@ -285,7 +267,6 @@ def whitened(model: Whitening, column: str = "embedding") -> Column:
     def of_vectors(vectors: pd.Series) -> pd.DataFrame:
         deviations: list[int | None] = [None] * len(vectors)
         rows: list[np.ndarray | None] = [None] * len(vectors)
-        # The size is how a row says that it has a result.
         arrays = pa.array(vectors, pa.list_(pa.float64()), from_pandas=False)
         for places, x in whole_numbers(arrays):
             if x.shape[1] != len(model.sums) or not model.n:
@@ -296,5 +277,4 @@ def whitened(model: Whitening, column: str = "embedding") -> Column:
         longs = pd.array(deviations, dtype="Int64")
         return pd.DataFrame({"deviation": longs, "whitened": pd.Series(rows, dtype=object)})
 
-    found = F.pandas_udf(of_vectors, FOUND)(F.col(column).cast("array<double>"))
-    return found
+    return F.pandas_udf(of_vectors, FOUND)(F.col(column).cast("array<double>"))

@@ -31,7 +31,7 @@ def test_held_out_accuracy(spark, documents):
     rows, labels = corpus(600, 1)
     docs = documents(rows)
     model = quality.fit(docs, spark.createDataFrame(labels, LABELS), held_out(F.col("doc_id"), 3, 1))
-    found = docs.select("doc_id", quality.score(spark, model).alias("s")).collect()
+    found = docs.select("doc_id", quality.score(model).alias("s")).collect()
     assert sum((r.s >= 0.5) == (r.doc_id % 4 != 0) for r in found) >= 0.98 * len(found)
 
 
@@ -54,7 +54,7 @@ def test_scores_are_those_of_the_mean_vector(monkeypatch):
 def test_odd_rows(odd_documents, spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (5, 0), (None, 1), (6, None), (77, 1)], LABELS)
     model = quality.fit(odd_documents, labels, held_out(F.col("doc_id"), 3, 1))
-    found = odd_documents.select("text", quality.score(spark, model).alias("s")).collect()
+    found = odd_documents.select("text", quality.score(model).alias("s")).collect()
     assert len(found) == odd_documents.count()
     assert len({r.s for r in found if not (r.text or "").strip()}) == 1
 
@@ -62,8 +62,8 @@ def test_odd_rows(odd_documents, spark):
 def test_no_rows_and_no_labels(odd_documents, spark):
     none, empty = odd_documents.where(F.lit(False)), spark.createDataFrame([], LABELS)
     model = quality.fit(none, empty, F.lit(False))
-    assert none.select(quality.score(spark, model)).collect() == []
-    assert {r.s for r in odd_documents.select(quality.score(spark, model).alias("s")).collect()} == {0.5}
+    assert none.select(quality.score(model)).collect() == []
+    assert {r.s for r in odd_documents.select(quality.score(model).alias("s")).collect()} == {0.5}
 
 
 def test_words_have_n_grams_of_two_to_four_signs():
