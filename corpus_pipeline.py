@@ -19,7 +19,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     out = held_out(F.col("doc_id"), 5, 0)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), out)
-    return docs.where(toxicity.score(spark, model) < 0.5)
+    return docs.where(toxicity.score(model) < 0.5)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
