@@ -102,6 +102,19 @@ def reached(pairs, nodes):
     return label
 
 
+@pytest.mark.parametrize("small", [0, 100_000])
+def test_components_of_stars(spark, monkeypatch, small):
+    """Two stars of which one holds most edges, a chain between leaves, and pairs."""
+    monkeypatch.setattr(components, "BROADCAST_ROWS", small)
+    edges = [(1000, 1001 + i) for i in range(600)] + [(5, 10 + i) for i in range(40)]
+    edges += [(1100, 1700), (1700, 20)] + [(3000 + 2 * i, 3001 + 2 * i) for i in range(50)]
+    made = spark.createDataFrame(edges, "a long, b long").repartition(4)
+    found = {r.node: r.root for r in components.components(made).collect()}
+    expected = {n: 5 for e in edges for n in e if 5 < n < 3000}
+    expected |= {3001 + i: 3000 + i for i in range(0, 100, 2)}
+    assert found == expected
+
+
 def test_components_of_a_chain_and_loops(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(50, 50), (60, 70), (70, 60), (60, 70)]
     edges = spark.createDataFrame([*pairs, (None, 3)], "a long, b long")
