@@ -175,8 +175,8 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     The histogram, of at most ``capacity`` lengths, is all that the driver sees. A
     piece's rank within its length is its number within a slice of that length plus
-    the sizes of the slices before; slices are dealt by a hash of the row, so a
-    length that many pieces share is spread. The plan's ranges meet the pieces by
+    the sizes of the slices before; slices are dealt by a hash of the stored row's
+    number, so pieces that share a length, or are alike in all columns, are spread. The plan's ranges meet the pieces by
     length and block of ranks, without the ids: these join what was planned by a
     number that each stored piece has. Repeated rows are packed each; an empty table
     gives an empty result.
@@ -185,7 +185,7 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     slices = 4 * partitions(spark)
     names = [x.split()[0] for x in PIECES.split(", ")]
     whole = stored(pieces.select(*names, F.monotonically_increasing_id().alias("_row")))
-    cut = F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(slices))
+    cut = F.pmod(F.xxhash64("_row"), F.lit(slices))
     pieces = stored(whole.drop("ids").withColumn("_slice", cut))
     sizes = stored(pieces.groupBy("length", "_slice").agg(F.count("*").alias("n")))
     totals = sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()
@@ -198,8 +198,7 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = Window.partitionBy("length").orderBy("_slice")
     before = before.rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    within = Window.partitionBy("length", "_slice")
-    within = within.orderBy("doc_id", "piece", "ids_crc32", "_row")
+    within = Window.partitionBy("length", "_slice").orderBy("_row")
     ranked = pieces.withColumn("number", F.row_number().over(within) - 1)
     ranked = ranked.join(starts.drop("n"), ["length", "_slice"])
     ranked = ranked.withColumn("rank", F.col("before") + F.col("number"))

@@ -110,6 +110,24 @@ def test_odd_rows(odd_documents):
     check(packing.pack(odd_documents, VOCABULARY), texts, 4096)
 
 
+def test_alike_rows_spread(spark, documents):
+    """Most pieces are alike in all columns: their ranks come from many slices."""
+    adaptive = "spark.sql.adaptive.enabled"
+    docs = documents([(None, "the same text") if i % 5 else (i, "the same text") for i in range(3000)])
+    pieces = packing.tokenised(docs.repartition(4), VOCABULARY)
+    try:
+        spark.conf.set(adaptive, "false")
+        found = packing.packed(pieces, 64).select("sequence_id", "offset", "length").collect()
+    finally:
+        spark.conf.unset(adaptive)
+    assert len({(r.sequence_id, r.offset) for r in found}) == 3000
+    length = found[0].length
+    assert len({r.sequence_id for r in found}) == -(-3000 // (64 // length))
+    rows = spark.range(3000).select(F.pmod(F.xxhash64("id"), F.lit(16)).alias("slice"))
+    sizes = sorted(r["count"] for r in rows.groupBy("slice").count().collect())
+    assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
 def test_no_rows(odd_documents):
     assert packing.pack(odd_documents.where(F.lit(False)), VOCABULARY).collect() == []
 
