@@ -1,11 +1,14 @@
 """Bottom-k sketches against exact sets of shingles."""
 
 import random
+from collections import Counter
+from hashlib import sha256
 
 import pytest
 from pyspark.sql import functions as F
 
 from llm import fingerprints as bk
+from llm.queries import op10_fingerprints
 
 
 def shingles(text, words=5):
@@ -88,17 +91,72 @@ def test_edited(spark):
     assert found == ["abcXYZ", "abcXY", "", "a", "aéÜ"]
 
 
+def pairs_of(docs):
+    """(doc_id, text, next text) in order of id, null last, and of the text's hashes."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("t"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+    rows = sorted(rows.collect(), key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.a, r.b))
+    texts = [r.t for r in rows]
+    return Counter(zip([r.doc_id for r in rows], texts, texts[1:] + texts[:1], strict=True))
+
+
 def test_odd_rows(odd_documents):
-    found = bk.with_next(odd_documents, 3)
-    assert found.count() == odd_documents.count()
-    rows = found.orderBy(F.col("doc_id").desc_nulls_last(), "text").collect()
-    texts = [r.text for r in rows]
-    assert [r.next_text for r in rows] == texts[1:] + texts[:1]
-    assert None not in texts
-    alike = {tuple(r.sketch) for r in rows if r.text.startswith("one two")}
+    found = bk.with_next(odd_documents, 3).collect()
+    assert Counter((r.doc_id, r.text, r.next_text) for r in found) == pairs_of(odd_documents)
+    alike = {tuple(r.sketch) for r in found if r.text.startswith("one two")}
     assert len(alike) == 1
 
 
+HOT = {
+    "null ids": lambda i: (None if i % 2 else i, f"text {i} of many"),
+    "one id": lambda i: (77 if i % 2 else i, f"text {i} of many"),
+    "equal rows": lambda i: (77, "the same") if i % 2 else (i, f"text {i} of many"),
+    "equal rows without id": lambda i: (None, None) if i % 3 else (i, f"text {i} of many"),
+    "lowest id": lambda i: (-(2**63) if i % 2 else i, f"text {i} of many"),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(HOT))
+def test_hot_rows_spread(spark, documents, kind):
+    docs = documents([HOT[kind](i) for i in range(6000)]).repartition(4)
+    adaptive = "spark.sql.adaptive.enabled"
+    try:
+        spark.conf.set(adaptive, "false")
+        placed = bk.with_next(docs, 64).withColumn("task", F.spark_partition_id())
+        found = placed.select("doc_id", "text", "next_text", "task").collect()
+    finally:
+        spark.conf.unset(adaptive)
+    assert Counter((r.doc_id, r.text, r.next_text) for r in found) == pairs_of(docs)
+    sizes = sorted(Counter(r.task for r in found).values())
+    if "equal" not in kind:  # copies are tasks of their own
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert sizes[-1] <= len(found) / 2
+
+
+def test_query_against_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = sorted(docs.collect(), key=lambda r: -r.doc_id)
+    after = {r.doc_id: n.text or "" for r, n in zip(rows, rows[1:] + rows[:1], strict=True)}
+    own = {r.doc_id: r.text or "" for r in rows}
+    found = {r.doc_id: r for r in op10_fingerprints(spark, sf_dir).collect()}
+    assert sorted(found) == sorted(own)
+    sketches = {}
+    for i, text in own.items():
+        half = len(text) // 2
+        changed = text[: len(text) - half] + after[i][:half]
+        r = found[i]
+        assert r.n_chars == len(text)
+        assert r.edited_sha256 == sha256(changed.encode()).hexdigest()
+        assert sketches.setdefault(text, r.fingerprint) == r.fingerprint
+        for near, other in ((r.near_edited, changed), (r.near_next, after[i])):
+            assert near == pytest.approx(jaccard(text, other), abs=0.2)
+
+
+def jaccard(a, b):
+    one, two = (shingles(x) for x in (a, b))
+    return len(one & two) / len(one | two) if one | two else 1.0
+
+
 def test_no_rows_and_one(odd_documents, documents):
     assert bk.with_next(odd_documents.where(F.lit(False))).collect() == []
     only = bk.with_next(documents([(5, "a b c d e f")])).collect()
