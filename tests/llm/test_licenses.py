@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm import licenses
+from llm.queries import op3_licenses
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -43,6 +44,25 @@ def test_phrases_against_brute_force():
         ("This work is licensed under the GNU General Public License, version 9.", []),
         ("This code was licensed under the GNU General Public License, version 3.", ["gpl-3.0"]),
         ("this source code form is subject to terms", []),
+        ("GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc. "
+         "<https://fsf.org/>\n Everyone is permitted to copy and distribute verbatim copies of this license document, "
+         "but changing it is not allowed.", ["gpl-3.0"]),
+        ("Apache License\n Version 2.0, January 2004\n http://www.apache.org/licenses/", ["apache-2.0"]),
+        ("Licensed under the terms of the Apache License, Version 2.0", ["apache-2.0"]),
+        ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+         "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+         "(at your option) any later version.", ["lgpl-2.1-or-later"]),
+        ("# you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as # published "
+         "by the Free Software Foundation; either version 2 of the # License, or (at your option) any later # version.",
+         ["gpl-2.0-or-later"]),
+        ("Licensed under CC BY 3.0.", ["cc-by-3.0"]),
+        ("This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.",
+         ["cc-by-sa-4.0"]),
+        ("This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+         "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/", ["epl-2.0"]),
+        ("This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, "
+         "publish, use, compile, sell, or distribute this software", ["unlicense"]),
+        ("Released under the MIT License. " * 3 + "Licensed under CC BY 4.0.", ["cc-by-4.0", "mit"]),
     ],
 )
 def test_templates(text, labels):
@@ -52,6 +72,68 @@ def test_templates(text, labels):
     assert sorted({label for label, _, _ in index.matches(licenses.words_of(text))}) == labels
 
 
+def test_every_template_is_found_with_words_put_in():
+    index = licenses.Index.of(dict.fromkeys((w for _, _, t in licenses.TEMPLATES for w in t.encode().split()), 1.0))
+    for label, keys, text in licenses.TEMPLATES:
+        assert all(k in text for k in keys)
+        assert label in {x for x, _, _ in index.matches(licenses.words_of(f"a b {text} c"))}
+        words = text.split()
+        held = {i for k in keys for i in range(len(words)) if words[i : i + len(k.split())] == k.split() for i in range(i, i + len(k.split()))}
+        free = [i for i in range(1, len(words)) if not {i - 1, i} <= held]
+        for i in free[:: max(len(free) // 3, 1)]:
+            changed = " ".join([*words[:i], "further", "words", *words[i:]])
+            assert label in {x for x, _, _ in index.matches(licenses.words_of(changed))}, changed
+
+
+def test_all_places_of_repeated_notices():
+    index = licenses.Index.of({b"mit": 5.0, b"released": 4.0})
+    text = "x released under the mit license " * 50 + "mit " * 500 + "released " * 500
+    found = [at for label, at, _ in index.matches(licenses.words_of(text)) if label == "mit"]
+    assert len(found) >= 50
+    assert {6 * i + 1 for i in range(50)} <= set(found)
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("// SPDX-License-Identifier: MIT\ncode", ["mit"]),
+        ("SPDX-License-Identifier: (MIT OR Apache-2.0) AND CC-BY-SA-4.0", ["mit", "apache-2.0", "cc-by-sa-4.0"]),
+        ("/* SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath */", ["gpl-2.0-or-later"]),
+        ("SPDX-License-Identifier: Unheard-1.0; spdx-license-identifier: ISC", ["isc"]),
+        ("SPDX-License-Identifier:", []),
+        ("SPDX license MIT", []),
+    ],
+)
+def test_spdx_lines(text, labels):
+    assert [label for label, _, _ in licenses.spdx_lines(licenses.words_of(text))] == labels
+
+
+def test_common_in_order():
+    chance = random.Random(7)
+    for _ in range(300):
+        a, b = ([bytes([chance.choice(b"abc")]) for _ in range(chance.randint(0, 9))] for _ in range(2))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        assert licenses.common_in_order(a, b) == table[-1][-1]
+
+
+def test_query_against_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    found = op3_licenses(spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in found) == sorted(texts)
+    for r in found:
+        n, places = brute(texts[r.doc_id])
+        labels = sorted({label for _, label in places})
+        ends = (places[0][0], places[-1][0]) if places else (None, None)
+        assert (r.n_words, r.n_base, r.first_word, r.last_word) == (n, len(places), *ends)
+        assert r.base_labels == ",".join(labels)
+        assert set(labels) <= set(r.labels.split(",")) and r.labels == ",".join(sorted(set(r.labels.split(","))))
+        assert 0 <= r.score <= 1 and (r.score > 0) == bool(r.labels)
+
+
 def test_a_template_cut_off_at_either_end_does_not_fail():
     index = licenses.Index.of({})
     whole = "licensed under the apache license version 2 0".split()
