@@ -87,7 +87,7 @@ def labelled_sample(
     with two labels has the larger. Equal texts of one label are one row, made so in
     each task before they meet, and of an id's many texts only so many are taken that
     the sample stays bounded; then the order is that of a hash of the text. As the
-    ids are bounded, they are broadcast.
+    ids are bounded, they are broadcast. The sample is stored, in many tasks.
     """
     known = labels.where(F.col(name).isNotNull() & F.col("doc_id").isNotNull() & ~kept_out)
     known = known.groupBy(F.col("doc_id").cast("long").alias("_labelled"))
@@ -96,8 +96,10 @@ def labelled_sample(
     same = F.col("doc_id").cast("long") == F.col("_labelled")
     found = docs.select("doc_id", "text").join(F.broadcast(known), same)
     found = found.select("text", F.col("_label").alias("label")).distinct()
-    mark = F.xxhash64("text", "label")
-    return found.withColumn("_mark", mark).orderBy("_mark", "text", "label").limit(rows).drop("_mark")
+    found = stored(found.withColumn("_mark", F.xxhash64("text", "label")))
+    marks = found.select("_mark").orderBy("_mark").limit(rows)
+    last = marks.agg(F.max("_mark")).first()[0]
+    return found.where(F.col("_mark") <= F.lit(last).cast("long")).drop("_mark")
 
 
 def summed(arrays: DataFrame, size: int) -> np.ndarray:

@@ -45,8 +45,8 @@ STEPS = 4
 ITERATIONS, PULL = 60, 1e-4
 #: What a known label says against the label model.
 KNOWN = 0.98
-#: Patterns that are one row of numbers.
-BLOCK = 4_096
+#: Patterns that are one row of numbers, and such rows of a task.
+BLOCK, BLOCKS = 4_096, 16
 WORD = re.compile(r"[^\W\d_]+")
 CACHED_WORDS = 300_000
 
@@ -234,7 +234,7 @@ def patterns(docs: DataFrame, voters: Voters) -> DataFrame:
 
 
 def blocks(rows: DataFrame, model: LabelModel, count: int) -> DataFrame:
-    """``rows`` of ``patterns`` with their targets, as arrays of ``BLOCK`` rows."""
+    """Stored ``rows`` of ``patterns`` with their targets, as arrays of ``BLOCK`` rows."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,6 +253,8 @@ def blocks(rows: DataFrame, model: LabelModel, count: int) -> DataFrame:
                 )
 
     schema = "features binary, sizes binary, target binary, n binary"
+    # Each step of the training is a job, so its tasks shouldn't be many small ones.
+    rows = rows.coalesce(rows.count() // (BLOCKS * BLOCK) + 1)
     return rows.select("votes", "features", "label", "n").mapInArrow(gather, schema)
 
 
@@ -344,7 +346,7 @@ def fit(
     documents are one weighed row. Without labels of both classes, only the fixed
     lexicon speaks.
     """
-    sample = stored(labelled_sample(docs, labels, "toxic", kept_out, rows))
+    sample = labelled_sample(docs, labels, "toxic", kept_out, rows)
     sample = sample.withColumn("label", (F.col("label") > 0).cast("int"))
     if sample.select("label").distinct().count() < 2:
         return Classifier(dict.fromkeys(INSULTS, 4.0), -2.0)

@@ -125,7 +125,7 @@ def trained(spark):
         )
         binary.append(tuple(bytearray(x.tobytes()) for x in arrays))
     df = spark.createDataFrame(binary, "features binary, sizes binary, target binary, n binary")
-    return rows, toxicity.train(df, 5, 400)
+    return rows, toxicity.train(df, 5, 200)
 
 
 def test_training_against_plain_gradients(trained):
@@ -162,7 +162,8 @@ def test_sample_is_bounded_by_rows(spark, documents, name):
     assert len(found) == len({(r.text, r.label) for r in found}) == 134 + 1 + 1 + 100
     few = labelled_sample(documents(rows), labels, name, F.col("doc_id") != 7, 20)
     assert few.count() == 20
-    assert few.collect() == labelled_sample(documents(rows[::-1]), labels, name, F.col("doc_id") != 7, 20).collect()
+    again = labelled_sample(documents(rows[::-1]), labels, name, F.col("doc_id") != 7, 20)
+    assert sorted(few.collect()) == sorted(again.collect())
 
 
 def test_hot_labelled_id(spark, documents):
