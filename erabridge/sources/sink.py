@@ -157,17 +157,27 @@ def stage(
 
 
 def swap_all(staged: list[Replacement]) -> None:
-    """Swaps every table or, on any failure, none; staging tables go either way."""
+    """Swaps every table or, on any failure, none; staging tables go either way.
+
+    Each table is put back by itself: where one can't be, the others are all the same,
+    and of that one neither the old nor the new rows are dropped.
+    """
+    stuck: list[Replacement] = []
     try:
         for one in staged:
             one.swap()
-    except Exception:
+    except Exception as failure:
         for one in reversed(staged):
-            one.undo()
+            try:
+                one.undo()
+            except Exception as second:
+                stuck.append(one)
+                failure.add_note(f"{one.name()} could not be put back: {second}")
         raise
     finally:
         for one in staged:
-            one.finish()
+            if not any(one is other for other in stuck):
+                one.finish()
 
 
 def replace_table(

@@ -7,7 +7,14 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from erabridge import REPORTS, refresh_all
-from erabridge.sources.sink import name_parts, quoted, replace_table
+from erabridge.sources.sink import (
+    Replacement,
+    name_parts,
+    quoted,
+    replace_table,
+    stage,
+    swap_all,
+)
 from helpers import as_set
 from workload.adapters import event_rows, history_rows
 
@@ -94,6 +101,39 @@ def test_failed_switch_keeps_the_old_files(spark, tmp_path, failing):
     assert not left_over(spark, tmp_path)
 
 
+def test_one_table_that_cannot_be_put_back_does_not_keep_the_others(spark, monkeypatch):
+    """The third swap fails, and so does putting the second table back."""
+    names = ["back_one", "back_two", "back_three"]
+    for name in names:
+        replace_table(spark.range(5), name)
+    staged = [stage(spark.range(3), name) for name in names]
+    monkeypatch.setattr(Replacement, "undo", refusing(staged[1], Replacement.undo))
+    monkeypatch.setattr(Replacement, "swap", refusing(staged[2], Replacement.swap))
+    with pytest.raises(RuntimeError, match="not this one") as failure:
+        swap_all(staged)
+    assert "back_two" in failure.value.__notes__[0]
+    assert spark.table("back_one").count() == 5
+    assert spark.table("back_three").count() == 5
+    # Both versions of the stuck table are there.
+    assert spark.table("back_two").count() == 3
+    assert spark.table(staged[1].name("retired")).count() == 5
+    assert [n for n in left_over(spark) if "back_" in n] == [f"back_two__retired_{staged[1].run}"]
+    monkeypatch.undo()
+    staged[1].undo()
+    staged[1].finish()
+    assert spark.table("back_two").count() == 5
+    assert not left_over(spark)
+
+
+def refusing(stuck, plain):
+    def step(self):
+        if self is stuck:
+            raise RuntimeError("not this one")
+        plain(self)
+
+    return step
+
+
 def test_other_layout_at_a_location_trades_names(spark, tmp_path):
     replace_table(spark.range(5), "relaid", str(tmp_path))
     other = spark.range(3).withColumn("more", F.lit("x"))
