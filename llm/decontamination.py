@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -12,8 +13,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Items of a benchmark that are looked for at a time; more are more blocks.
-BLOCK = 2_000
+#: Items of a benchmark that have a space of their own, and such blocks that a task
+#: holds; more are further passes over the documents.
+BLOCK, BLOCKS = 2_000, 10
 #: Words between starts of passages, and steps that a passage is long. An item is
 #: compared with the shortest passages that are not shorter than it. A longer one than
 #: the longest is cut into parts of that length, which start every ``PART`` words.
@@ -111,12 +113,13 @@ def _chunks(numbers: list[np.ndarray]) -> Iterator[list[tuple[int, int, np.ndarr
         yield held
 
 
-def _sketch_part(items: Items, test: np.ndarray, texts: list[str | None]):
-    """Passages, and per word: passages that hold it and its row of (counts' counts) test."""
+def _sketch_part(items: Items, test: np.ndarray, split: list[list[bytes]]):
+    """Of texts' words: passages, and per word: passages that hold it and its row of
+    (counts' counts) test."""
     size = len(items.vocabulary)
     seen, rows, passages = np.zeros(size), np.zeros(test.shape), 0
     long = SIZES[-1] * STEP
-    for held in _chunks([items.numbers(words_of(t)) for t in texts]):
+    for held in _chunks([items.numbers(words) for words in split]):
         flat = np.concatenate([x for _, _, x in held])
         starts = np.concatenate([[0], np.cumsum([len(x) for _, _, x in held])])
         passage, made = np.empty(len(flat), np.int64), 0
@@ -149,43 +152,57 @@ class Space:
     words: np.ndarray
 
     @classmethod
-    def fit(cls, docs: DataFrame, items: Items) -> Space:
+    def fit(cls, docs: DataFrame, blocks: list[Items]) -> list[Space]:
         """Randomised SVD over the passages of all ``docs`` and, in ``of``, of the items.
 
         A is the matrix of passages by words, T its counts, D the words' weights,
-        A = T D. One pass gives T'T times a random matrix; with it, A'A is known on the random matrix scaled by
-        D's inverse, and the Nystroem form of A'A on it has A's right singular
-        vectors. Each task sends one row a word of the items, however many passages
-        it read.
+        A = T D. One pass gives T'T times a random matrix; with it, A'A is known on the
+        random matrix scaled by D's inverse, and the Nystroem form of A'A on it has A's
+        right singular vectors. A text is read once for all blocks. Each task sends one
+        row a word of each block's items, however many passages it read.
         """
-        size, wide = len(items.vocabulary), RANK + EXTRA
-        test = np.random.default_rng(5).normal(size=(size, wide)).astype(np.float32)
+        wide = RANK + EXTRA
+        sizes = [len(items.vocabulary) for items in blocks]
+        tests = [
+            np.random.default_rng(5).normal(size=(size, wide)).astype(np.float32) for size in sizes
+        ]
         names = ["passages", "seen", *(f"c{k}" for k in range(wide))]
 
         def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            passages, seen, rows = 0, np.zeros(size), np.zeros((size, wide))
+            passages = [0] * len(blocks)
+            seen = [np.zeros(size) for size in sizes]
+            rows = [np.zeros((size, wide)) for size in sizes]
             for batch in batches:
-                own = _sketch_part(items, test, batch.column(0).to_pylist())
-                passages, seen, rows = passages + own[0], seen + own[1], rows + own[2]
-            met = np.flatnonzero(seen)
-            columns = [np.full(len(met) + 1, passages), seen[met], *rows[met].T]
-            # The row of no word carries the number of passages.
-            columns = [columns[0], *(np.append(c, 0.0) for c in columns[1:])]
-            arrays = [pa.array(np.append(met, -1), pa.int32())]
-            arrays += [pa.array(c.astype(float)) for c in columns]
-            yield pa.RecordBatch.from_arrays(arrays, ["word", *names])
-
-        schema = "word int, " + ", ".join(f"{n} double" for n in names)
+                split = [words_of(t) for t in batch.column(0).to_pylist()]
+                for k, items in enumerate(blocks):
+                    own = _sketch_part(items, tests[k], split)
+                    passages[k] += own[0]
+                    seen[k] += own[1]
+                    rows[k] += own[2]
+            for k in range(len(blocks)):
+                met = np.flatnonzero(seen[k])
+                columns = [np.full(len(met) + 1, passages[k]), seen[k][met], *rows[k][met].T]
+                # The row of no word carries the number of passages.
+                columns = [columns[0], *(np.append(c, 0.0) for c in columns[1:])]
+                arrays = [pa.array(np.full(len(met) + 1, k), pa.int32())]
+                arrays.append(pa.array(np.append(met, -1), pa.int32()))
+                arrays += [pa.array(c.astype(float)) for c in columns]
+                yield pa.RecordBatch.from_arrays(arrays, ["block", "word", *names])
+
+        schema = "block int, word int, " + ", ".join(f"{n} double" for n in names)
         read = docs.select("text").mapInArrow(part, schema)
-        sums = read.groupBy("word").agg(*(F.sum(n).alias(n) for n in names))
-        found = {r["word"]: r for r in sums.collect()}  # one row a word of the items
-        rows, seen = np.zeros((size, wide)), np.zeros(size)
-        for word, row in found.items():
-            if word >= 0:
-                seen[word] = row["seen"]
-                rows[word] = [row[f"c{k}"] for k in range(wide)]
-        total = found[-1]["passages"] if found else 0
-        return cls.of(items, test, total, seen, rows)
+        sums = read.groupBy("block", "word").agg(*(F.sum(n).alias(n) for n in names))
+        found = sums.toArrow()  # one row a word of the items
+        block, word = (found[c].to_numpy() for c in ("block", "word"))
+        values = np.stack([found[n].to_numpy() for n in names], 1)
+        out = []
+        for k, items in enumerate(blocks):
+            seen, rows = np.zeros(sizes[k]), np.zeros((sizes[k], wide))
+            own = (block == k) & (word >= 0)
+            seen[word[own]], rows[word[own]] = values[own, 1], values[own, 2:]
+            total = values[(block == k) & (word < 0), 0].sum()
+            out.append(cls.of(items, tests[k], total, seen, rows))
+        return out
 
     @classmethod
     def of(
@@ -196,8 +213,7 @@ class Space:
         Items weigh as much as all documents, else the space would have no room for
         what tells them apart.
         """
-        texts = [b" ".join(w).decode() for w in items.words]
-        own, own_seen, own_rows = _sketch_part(items, test, texts)
+        own, own_seen, own_rows = _sketch_part(items, test, items.words)
         idf = np.log((total + own + 1) / (seen + own_seen + 1))
         rows = rows + max(1.0, total / own) * own_rows
         return cls(items, idf, _directions(test.astype(float), rows, items.weights()))
@@ -208,8 +224,8 @@ class Space:
         vectors = [self.words[[get(w) for w in words[i][at:end]]].sum(0) for i, at, end in parts]
         return np.stack(vectors).astype(np.float32)
 
-    def search(self, texts: list[str | None]) -> Iterator[list[tuple[int, float]]]:
-        """For each text, (item, share of its words in order) of the items it holds.
+    def search(self, split: list[list[bytes]]) -> Iterator[list[tuple[int, float]]]:
+        """For each text's words, (item, share of its words in order) of the items held.
 
         Passages close to a part of an item in the space are candidates; the words
         around one, as far as the item goes, are then compared with all of its words
@@ -228,7 +244,6 @@ class Space:
         apart = np.array([len(w) // 4 if len(w) > longest else 1 for w in self.items.words])
         item_of, offset_of = np.array(parts)[:, :2].T
         words = self.words.astype(np.float32)
-        split = [words_of(t) for t in texts]
         distinct = [set(w) for w in split]
         near: list[dict[int, set[int]]] = [{} for _ in split]
         for held in _chunks([self.items.numbers(w) for w in split]):
@@ -321,8 +336,8 @@ def common_words(a: list[bytes], b: list[bytes]) -> int:
 def blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[Items]:
     """The items of ``benchmark`` (item_id, text), ``size`` at a time by item_id.
 
-    A block is what the driver and a task hold of the benchmark at once. Items
-    without an id or a word can't be reported and are left out.
+    The driver and a task hold ``BLOCKS`` of them at once. Items without an id or a
+    word can't be reported and are left out.
     """
     rows = benchmark.where("item_id is not null and text is not null")
     rows = rows.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
@@ -336,13 +351,14 @@ def blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[Items]:
         last = F.struct(F.lit(held[-1][0]).alias("item_id"), F.lit(held[-1][1]).alias("text"))
 
 
-def _searched(space: Space) -> Column:
+def _searched(spaces: list[Space]) -> Column:
     def search(batches):
         for texts in batches:
             rows = []
             for at in range(0, len(texts), TEXTS):
-                found = space.search(texts[at : at + TEXTS].tolist())
-                rows += [[{"item_id": i, "common": c} for i, c in x] for x in found]
+                split = [words_of(t) for t in texts[at : at + TEXTS].tolist()]
+                found = zip(*(space.search(split) for space in spaces), strict=True)
+                rows += [[{"item_id": i, "common": c} for own in x for i, c in own] for x in found]
             yield pd.Series(rows)
 
     search.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
@@ -354,13 +370,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> Column:
 
     It has each item of ``benchmark`` (item_id, text) of whose words a text holds
     enough in order, with the share of them. Every text meets every item, in blocks
-    of items. Texts are searched one by one, so repeated rows, null ids and other
+    of items, ``BLOCKS`` of which are searched while a text is read once. Texts are searched one by one, so repeated rows, null ids and other
     columns make no difference; a null or empty text holds nothing, and an empty
     benchmark is held by nothing.
     """
     kind = "array<struct<item_id long, common double>>"
     found = [F.array().cast(kind)]
-    for items in blocks(benchmark):
-        if items.ids:
-            found.append(_searched(Space.fit(docs, items)))
+    held = (items for items in blocks(benchmark) if items.ids)
+    while group := list(islice(held, BLOCKS)):
+        found.append(_searched(Space.fit(docs, group)))
     return F.concat(*found)

@@ -56,9 +56,10 @@ def planted(seed, n_items=60, n_docs=500):
     return [(k, " ".join(w)) for k, w in enumerate(items)], docs, truth
 
 
-@pytest.mark.parametrize("block", [2_000, 17])
-def test_planted_passages(spark, documents, monkeypatch, block):
+@pytest.mark.parametrize(("block", "blocks"), [(2_000, 10), (17, 10), (17, 2)])
+def test_planted_passages(spark, documents, monkeypatch, block, blocks):
     monkeypatch.setattr(dc.blocks, "__defaults__", (block,))
+    monkeypatch.setattr(dc, "BLOCKS", blocks)
     items, docs, truth = planted(3)
     df = documents(docs)
     leaks = dc.leaks(df, spark.createDataFrame(items, ITEMS))
@@ -74,10 +75,10 @@ def test_recall_against_all_pairs(spark, documents):
     items, docs, _ = planted(5, n_items=30, n_docs=120)
     df = documents(docs)
     block = dc.Items.of(items)
-    space = dc.Space.fit(df, block)
+    (space,) = dc.Space.fit(df, [block])
     hits = 0
-    for text, found in zip([t for _, t in docs], space.search([t for _, t in docs]), strict=True):
-        words = dc.words_of(text)
+    split = [dc.words_of(t) for _, t in docs]
+    for words, found in zip(split, space.search(split), strict=True):
         for item in range(len(items)):
             every = range(0, max(len(words), 1), 4)
             share = space.common(item, space.answer(item), words, list(every))
@@ -137,8 +138,9 @@ def searched(items, texts):
     """What the search finds in each text, the space fitted without Spark."""
     block = dc.Items.of(items)
     test = np.random.default_rng(5).normal(size=(len(block.vocabulary), dc.RANK + dc.EXTRA)).astype(np.float32)
-    space = dc.Space.of(block, test, *dc._sketch_part(block, test, texts))
-    return [sorted(i for i, _ in found) for found in space.search(texts)]
+    split = [dc.words_of(t) for t in texts]
+    space = dc.Space.of(block, test, *dc._sketch_part(block, test, split))
+    return [sorted(i for i, _ in found) for found in space.search(split)]
 
 
 def with_items(texts, own, chance):
