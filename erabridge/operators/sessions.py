@@ -25,6 +25,9 @@ from erabridge.operators.events import (
 
 # The dimension name under which ``session_reports`` keeps the whole day.
 TOTAL = "total"
+# The column of an event's kind, and the kinds.
+KIND = "_kind"
+START, VIEW, ENGAGEMENT = 0, 1, 2
 
 # ---------------------------------------------------------------- single steps
 
@@ -121,7 +124,7 @@ def session_report(
     Both shuffles follow a map-side aggregate, so a day, dimension value or
     session id holding much of the data reaches a reducer as one row per task.
     """
-    rows = dated(only_events(events, SESSION_REPORT_EVENTS), dim, path)
+    rows = _kinds(dated(only_events(events, SESSION_REPORT_EVENTS), dim, path))
     daily = _daily_totals(_session_totals(rows, _keys(dim)), _keys(dim))
     return _finished(daily, _keys(dim)).withColumn(label, F.lit("GA4"))
 
@@ -134,21 +137,27 @@ def session_reports(events: DataFrame, dims: Mapping[str, str]) -> DataFrame:
     under the dimension ``total``. Each event is unpivoted into one row per
     report, and the map-side aggregate folds these before they are shuffled.
     """
+    names = [TOTAL, *dims]
     rows = only_events(events, SESSION_REPORT_EVENTS).select(
         parse_event_date(F.col("event_date")).alias("date"),
         F.col("event_bundle_sequence_id").alias("session_id"),
         "event_name",
-        F.lit(None).cast("string").alias(TOTAL),
-        *[F.col(path).alias(name) for name, path in dims.items()],
+        F.lit(None).cast("string").alias("0"),
+        *[F.col(path).alias(str(i)) for i, path in enumerate(dims.values(), 1)],
     )
-    long = rows.unpivot(
-        ["date", "session_id", "event_name"], [TOTAL, *dims], "dimension", "value"
+    numbers = [str(i) for i in range(len(names))]
+    long = _kinds(rows).unpivot(
+        ["date", "session_id", KIND], numbers, "dimension", "value"
     )
+    # A number is a shorter key than a name, of four groups per session.
+    long = long.withColumn("dimension", F.col("dimension").cast("tinyint"))
     keys = ["date", "dimension", "value"]
     daily = _daily_totals(_session_totals(long, keys), keys)
     # Without a dimension there is no value to be missing.
-    no_value = (F.col("dimension") != TOTAL) & F.col("value").isNull()
-    return _finished(daily, keys, F.col("date").isNull() | no_value)
+    no_value = (F.col("dimension") != 0) & F.col("value").isNull()
+    found = _finished(daily, keys, F.col("date").isNull() | no_value)
+    name = F.get(F.array(*map(F.lit, names)), F.col("dimension").cast("int"))
+    return found.withColumn("dimension", name)
 
 
 def _keys(dim: str | None) -> list[str]:
@@ -159,22 +168,29 @@ def _bounced() -> Column:
     return (F.col("views") == 1) & (F.col("engagements") == 0)
 
 
-def _session_totals(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Events of each kind per session.
+def _kinds(rows: DataFrame) -> DataFrame:
+    """``rows`` with a number for the event's name, which is compared once a row.
 
     Session starts are only ever counted per day and value, so they give up
     their session id. That leaves them one row per task instead of one per
     session, and adds no views or engagements to the session without an id.
     """
-    session = F.when(~is_event(SESSION_START), F.col("session_id"))
-    return (
-        rows.withColumn("session_id", session)
-        .groupBy("session_id", *keys)
-        .agg(
-            F.count_if(is_event(SESSION_START)).alias("starts"),
-            F.count_if(is_event(PAGE_VIEW)).alias("views"),
-            F.count_if(is_event(USER_ENGAGEMENT)).alias("engagements"),
-        )
+    kind = (
+        F.when(is_event(SESSION_START), F.lit(START))
+        .when(is_event(PAGE_VIEW), F.lit(VIEW))
+        .when(is_event(USER_ENGAGEMENT), F.lit(ENGAGEMENT))
+    )
+    rows = rows.withColumn(KIND, kind.cast("tinyint")).drop("event_name")
+    session = F.when(F.col(KIND) != START, F.col("session_id"))
+    return rows.withColumn("session_id", session)
+
+
+def _session_totals(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Events of each kind per session."""
+    return rows.groupBy("session_id", *keys).agg(
+        F.count_if(F.col(KIND) == START).alias("starts"),
+        F.count_if(F.col(KIND) == VIEW).alias("views"),
+        F.count_if(F.col(KIND) == ENGAGEMENT).alias("engagements"),
     )
 
 
