@@ -9,6 +9,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,9 +20,9 @@ CAPACITY = 4096
 END_ID = 1
 ID_BYTES = 4
 SHORT_BYTES = 2
-#: Words whose ids a task remembers, and texts that it takes at a time.
+#: Words whose ids a task remembers, and signs of texts that it takes at a time.
 CACHED_WORDS = 800_000
-TEXTS = 500
+SIGNS = 1 << 22
 #: Pieces whose ids a task widens at a time.
 PIECES_AT_A_TIME = 1_000
 
@@ -59,22 +60,48 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Each text's ids as little-endian numbers of four bytes."""
-        for at in range(0, len(texts), TEXTS):
-            split = [x.replace("\n", " ").split(" ") for x in texts[at : at + TEXTS]]
-            new = set().union(*split).difference(self.words)
-            if len(self.words) + len(new) > CACHED_WORDS:
-                self.words.clear()
+        held, size = [], 0
+        for text in texts:
+            if held and size + len(text) > SIGNS:
+                yield from self._encoded(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+        if held:
+            yield from self._encoded(held)
+
+    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
+        """Words are numbered by Arrow, and numpy puts the ids of their numbers in order."""
+        texts = pa.array([x.replace("\n", " ") for x in texts], pa.large_string())
+        split = pc.split_pattern(texts, " ")
+        numbered = split.flatten().dictionary_encode()
+        names = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        words = self.words
+        if len(words) + len(names) > CACHED_WORDS:
+            if len(words) + sum(x not in words for x in names) > CACHED_WORDS:
+                words.clear()
                 self.runs = {"": b""}
-                new = set().union(*split)
-            for word in new:
-                letters = word.rstrip(MARKS)
-                self.words[word] = (
-                    self._letters(letters.lower()) + self._any(word[len(letters) :])
-                    if letters.isalpha() and max(letters) < PLAIN
-                    else self._any(word)
-                )
-            for words in split:
-                yield b"".join(map(self.words.__getitem__, words))
+        ids = [words[x] if x in words else self._word(x) for x in names]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // ID_BYTES
+        flat, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        number = numbered.indices.to_numpy()
+        sizes = sizes[number]
+        ends = np.cumsum(sizes)
+        place = np.repeat(starts[number] - (ends - sizes), sizes)
+        place += np.arange(len(place))
+        ids = flat[place]
+        bounds = np.append(0, ends)[split.offsets.to_numpy()]
+        for low, high in zip(bounds, bounds[1:], strict=False):
+            yield ids[low:high].tobytes()
+
+    def _word(self, word: str) -> bytes:
+        letters = word.rstrip(MARKS)
+        if letters.isalpha() and (letters.isascii() or max(letters) < PLAIN):
+            found = self._letters(letters.lower()) + self._any(word[len(letters) :])
+        else:
+            found = self._any(word)
+        self.words[word] = found
+        return found
 
     def _letters(self, run: str) -> bytes:
         found = self.runs.get(run)
