@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -54,10 +56,31 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+#: Where ``stored`` has put rows since somebody began to ask.
+_made: ContextVar[list[str] | None] = ContextVar("_made", default=None)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows of ``df``, written to the shared folder: later jobs read them there."""
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    found = df.checkpoint()
+    if (made := _made.get()) is not None:
+        place = found._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if place.isDefined():
+            made.append(place.get())
+    return found
+
+
+@contextmanager
+def stored_for_now(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what ``stored`` has written in between."""
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        for path in _made.get():
+            remove_folder(spark, path)
+        _made.reset(token)
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:

@@ -93,6 +93,9 @@ def test_run(spark, sf_dir, kept):
     found = corpus_pipeline.run(spark, sf_dir)
     made = [f.name for f in set(folder.iterdir()) - before if f.name.startswith("pipeline-")]
     assert len(made) == 1
+    # Nor do rows stay that stages stored on their way.
+    rows = [f for f in set(folder.iterdir()) - before if f.name.startswith("rdd-") and any(f.iterdir())]
+    assert rows == []
     assert {r.doc_id for r in found.collect()} == {r.doc_id for r in kept[-1].collect()}
 
 
