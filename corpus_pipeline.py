@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import decontamination, packing, pii, simhash, toxicity
-from llm.common import held_out, remove_folder, shared_folder, table
+from llm.common import held_out, remove_folder, shared_folder, stored_for_now, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,13 +62,14 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and reread.
 
-    What a stage wrote is removed once the next one is written; the last one's rows
-    stay, since the result reads them.
+    What a stage wrote is removed once the next one is written, and what it stored on
+    its way at its end; the last one's rows stay, since the result reads them.
     """
     docs, folder, last = table(spark, sf_dir, "documents"), shared_folder(spark), None
     for name, stage in STAGES:
         path = f"{folder}/pipeline-{uuid.uuid4().hex}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with stored_for_now(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
         if last is not None:
             remove_folder(spark, last)
