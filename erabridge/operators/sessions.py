@@ -28,6 +28,8 @@ TOTAL = "total"
 # The column of an event's kind, and the kinds.
 KIND = "_kind"
 START, VIEW, ENGAGEMENT = 0, 1, 2
+# Stands for a missing day among days since 1970.
+NO_DAY = -(1 << 30)
 
 # ---------------------------------------------------------------- single steps
 
@@ -145,21 +147,64 @@ def session_reports(events: DataFrame, dims: Mapping[str, str]) -> DataFrame:
         F.lit(None).cast("string").alias("0"),
         *[F.col(path).alias(str(i)) for i, path in enumerate(dims.values(), 1)],
     )
+    day = F.coalesce(F.unix_date("date"), F.lit(NO_DAY)).cast("bigint")
     numbers = [str(i) for i in range(len(names))]
-    long = _kinds(rows).unpivot(
-        ["date", "session_id", KIND], numbers, "dimension", "value"
+    long = (
+        _kinds(rows)
+        .withColumn("date", day)
+        .unpivot(["date", "session_id", KIND], numbers, "dimension", "value")
     )
-    # A number is a shorter key than a name, of four groups per session.
-    long = long.withColumn("dimension", F.col("dimension").cast("tinyint"))
-    keys = ["date", "dimension", "value"]
-    daily = _daily_totals(_session_totals(long, keys), keys)
+    daily = _daily_totals_of_slots(_slot_totals(long, len(names)), len(names))
     # Without a dimension there is no value to be missing.
     no_value = (F.col("dimension") != 0) & F.col("value").isNull()
+    keys = ["date", "dimension", "value"]
     found = _finished(daily, keys, F.col("date").isNull() | no_value)
     name = F.get(F.array(*map(F.lit, names)), F.col("dimension").cast("int"))
     return found.withColumn("dimension", name)
 
 
+def _slot_totals(long: DataFrame, dims: int) -> DataFrame:
+    """Events per session, or session starts per day, of each (slot, value).
+
+    There are four groups per session, so a group is made small: a slot is the day and
+    the dimension in one number, of which starts have their own, and starts and page
+    views share a column.
+    """
+    dimension = F.col("dimension").cast("bigint")
+    kind = F.when(F.col(KIND) == START, dimension + dims).otherwise(dimension)
+    slot = (F.col("date") * (2 * dims) + kind).alias("slot")
+    return (
+        long.select("session_id", slot, "value", KIND)
+        .groupBy("session_id", "slot", "value")
+        .agg(
+            F.count_if(F.col(KIND) != ENGAGEMENT).alias("views"),
+            F.count_if(F.col(KIND) == ENGAGEMENT).alias("engagements"),
+        )
+    )
+
+
+def _daily_totals_of_slots(sessions: DataFrame, dims: int) -> DataFrame:
+    kind = F.pmod("slot", F.lit(2 * dims))
+    day = F.expr(f"(slot - pmod(slot, {2 * dims})) div {2 * dims}").cast("int")
+    date = F.when(day != NO_DAY, F.date_from_unix_date(day))
+    views, engagements = F.col("views"), F.col("engagements")
+    started, active = kind >= dims, (views > 0) | (engagements > 0)
+    return sessions.select(
+        date.alias("date"),
+        F.pmod(kind, F.lit(dims)).alias("dimension"),
+        "value",
+        F.when(started, views).otherwise(0).alias("starts"),
+        F.when(started, F.lit(0)).otherwise(views).alias("views"),
+        (~started & active & _bounced()).alias("bounced"),
+        (~started & active).alias("active"),
+    ).groupBy("date", "dimension", "value").agg(
+        F.sum("starts").alias("sessions"),
+        F.sum("views").alias("pageviews"),
+        F.count_if("bounced").alias("bounced"),
+        F.count_if("active").alias("active"),
+    )
+
+
 def _keys(dim: str | None) -> list[str]:
     return ["date", dim] if dim else ["date"]
 

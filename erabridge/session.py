@@ -4,7 +4,7 @@ from math import ceil
 
 #: Bytes that a task reads of the columns it needs. They are few a row, and the
 #: refresh folds four groups per session in memory, so this is a small split.
-SPLIT_BYTES = 16 * 1024**2
+SPLIT_BYTES = 8 * 1024**2
 #: Bytes that a task takes from a shuffle.
 PARTITION_BYTES = 128 * 1024**2
 #: No task of a shuffle takes more than this, however many map tasks there are.
