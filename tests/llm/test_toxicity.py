@@ -125,7 +125,7 @@ def trained(spark):
         )
         binary.append(tuple(bytearray(x.tobytes()) for x in arrays))
     df = spark.createDataFrame(binary, "features binary, sizes binary, target binary, n binary")
-    return rows, toxicity.train(df, 5, 200)
+    return rows, toxicity.train(df.coalesce(1), 5, 100)
 
 
 def test_training_against_plain_gradients(trained):
