@@ -22,7 +22,7 @@ ID_BYTES = 4
 SHORT_BYTES = 2
 #: Words whose ids a task remembers, and signs of texts that it takes at a time.
 CACHED_WORDS = 800_000
-SIGNS = 1 << 22
+SIGNS = 1 << 20
 #: Pieces whose ids a task widens at a time.
 PIECES_AT_A_TIME = 1_000
 
