@@ -173,12 +173,14 @@ class Space:
             seen = [np.zeros(size) for size in sizes]
             rows = [np.zeros((size, wide)) for size in sizes]
             for batch in batches:
-                split = [words_of(t) for t in batch.column(0).to_pylist()]
-                for k, items in enumerate(blocks):
-                    own = _sketch_part(items, tests[k], split)
-                    passages[k] += own[0]
-                    seen[k] += own[1]
-                    rows[k] += own[2]
+                for at in range(0, len(batch), TEXTS):
+                    texts = batch.column(0).slice(at, TEXTS).to_pylist()
+                    split = [words_of(t) for t in texts]
+                    for k, items in enumerate(blocks):
+                        own = _sketch_part(items, tests[k], split)
+                        passages[k] += own[0]
+                        seen[k] += own[1]
+                        rows[k] += own[2]
             for k in range(len(blocks)):
                 met = np.flatnonzero(seen[k])
                 columns = [np.full(len(met) + 1, passages[k]), seen[k][met], *rows[k][met].T]
