@@ -372,9 +372,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> Column:
 
     It has each item of ``benchmark`` (item_id, text) of whose words a text holds
     enough in order, with the share of them. Every text meets every item, in blocks
-    of items, ``BLOCKS`` of which are searched while a text is read once. Texts are searched one by one, so repeated rows, null ids and other
-    columns make no difference; a null or empty text holds nothing, and an empty
-    benchmark is held by nothing.
+    of items, ``BLOCKS`` of which are searched while a text is read once. Texts are
+    searched one by one, so repeated rows, null ids and other columns make no
+    difference; a null or empty text holds nothing, and an empty benchmark is held by
+    nothing.
     """
     kind = "array<struct<item_id long, common double>>"
     found = [F.array().cast(kind)]

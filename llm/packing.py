@@ -203,10 +203,10 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     The histogram, of at most ``capacity`` lengths, is all that the driver sees. A
     piece's rank within its length is its number within a slice of that length plus
     the sizes of the slices before; slices are dealt by a hash of the stored row's
-    number, so pieces that share a length, or are alike in all columns, are spread. The plan's ranges meet the pieces by
-    length and block of ranks, without the ids: these join what was planned by a
-    number that each stored piece has. Repeated rows are packed each; an empty table
-    gives an empty result.
+    number, so pieces that share a length, or are alike in all columns, are spread.
+    The plan's ranges meet the pieces by length and block of ranks, without the ids:
+    these join what was planned by a number that each stored piece has. Repeated rows
+    are packed each; an empty table gives an empty result.
     """
     spark = pieces.sparkSession
     slices = 4 * partitions(spark)

@@ -67,7 +67,9 @@ def test_op1(spark, docs):
     assert sorted(tuple(r)[:3] for r in queries.op1_simhash(spark, SF_DIR).collect()) == expected
 
 
-@pytest.mark.parametrize(("query", "name", "folds", "fold"), [("op2_toxicity", "toxic", 5, 0), ("op7_quality", "quality", 3, 1)])
+@pytest.mark.parametrize(
+    ("query", "name", "folds", "fold"), [("op2_toxicity", "toxic", 5, 0), ("op7_quality", "quality", 3, 1)]
+)
 def test_op2_and_op7(spark, docs, labels, query, name, folds, fold):
     found = queries.QUERIES[query](spark, SF_DIR).collect()
     assert sorted(r.doc_id for r in found) == sorted(docs)
@@ -84,7 +86,8 @@ def test_op2_and_op7(spark, docs, labels, query, name, folds, fold):
 def test_op4(spark, docs):
     """Texts that hold an item whole are found with it; items that are found share
     enough words in order with the text, and their answer."""
-    items = {r.item_id: decontamination.words_of(r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()}
+    benchmark = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()
+    items = {r.item_id: decontamination.words_of(r.text) for r in benchmark}
     found = queries.op4_decontamination(spark, SF_DIR).collect()
     assert sorted(r.doc_id for r in found) == sorted(docs)
     planted = 0
