@@ -1,5 +1,6 @@
 """The folder that all executors can reach, for results jobs hand on."""
 
+import posixpath
 import re
 import uuid
 
@@ -11,23 +12,36 @@ SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
     """``folder``, or else the one the session names in ``spark.checkpoint.dir``.
 
-    On a cluster a folder of the driver's own machine is refused. Nothing is
-    set or made: the session stays as the caller configured it.
+    On a cluster a folder of the driver's own machine is refused, unless it is
+    or lies in the session's: what is mounted on every machine looks the same,
+    and Spark's own checkpoints rely on that setting too. Nothing is set or
+    made: the session stays as the caller configured it.
     """
     context = spark.sparkContext
-    folder = (
-        folder
-        or spark.conf.get(SETTING, None)
+    named = (
+        spark.conf.get(SETTING, None)
         or context.getConf().get(SETTING)
         or context.getCheckpointDir()
     )
+    folder = folder or named
     if not folder:
         raise ValueError(f"give a folder, or name one in {SETTING}")
-    if not context.master.startswith("local") and _of_one_machine(spark, folder):
+    on_cluster = not context.master.startswith("local")
+    if on_cluster and not _lies_in(folder, named) and _of_one_machine(spark, folder):
         raise ValueError(f"executors can't share {folder}")
     return folder.rstrip("/")
 
 
+def _lies_in(folder: str, named: str | None) -> bool:
+    if not named:
+        return False
+    inner, outer = (
+        posixpath.normpath(re.sub(r"^(?i:file):/*", "/", place)) + "/"
+        for place in (folder, named)
+    )
+    return inner.startswith(outer)
+
+
 def _of_one_machine(spark: SparkSession, folder: str) -> bool:
     scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", folder)
     if scheme is None:

@@ -148,6 +148,31 @@ def test_a_cluster_session_takes_a_folder_of_a_shared_store(folder):
     assert shared_folder(FakeSession(), folder) == folder.rstrip("/")
 
 
+class FakeSessionOfShare(FakeSession):
+    """It names a folder that is mounted on all machines of the cluster."""
+
+    class conf:
+        @staticmethod
+        def get(key, default):
+            return "file:///mnt/share/" if key == "spark.checkpoint.dir" else default
+
+
+@pytest.mark.parametrize(
+    "folder", [None, "file:///mnt/share", "/mnt/share/", "file:/mnt/share/run"]
+)
+def test_a_cluster_session_takes_the_mounted_folder_that_it_names(folder):
+    taken = shared_folder(FakeSessionOfShare(), folder)
+    assert taken == (folder or "file:///mnt/share/").rstrip("/")
+
+
+@pytest.mark.parametrize(
+    "folder", ["file:/mnt/shared", "/mnt", "/mnt/share/../x", "file:/data/x"]
+)
+def test_a_cluster_session_refuses_folders_beside_the_named_one(folder):
+    with pytest.raises(ValueError, match="can't share"):
+        shared_folder(FakeSessionOfShare(), folder)
+
+
 def test_the_shared_folder_is_looked_up_without_a_change(spark, tmp_path):
     before = spark.sparkContext.getCheckpointDir()
     assert fresh_path(spark, "x", f"{tmp_path}/").startswith(f"{tmp_path}/x-")
