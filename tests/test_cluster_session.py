@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 
+from erabridge import REPORTS
 from workload.adapters import EVENTS_TABLE, ORDERS_TABLE
 from workload.queries import QUERIES
 
@@ -51,3 +52,11 @@ def test_sink_writes_to_the_mounted_folder(spark, stored, on_cluster):
     assert counted(written) == counted(QUERIES["report_traffic"](spark, stored))
     shared = spark.conf.get("spark.checkpoint.dir")
     assert all(shared in file for file in written.inputFiles())
+
+
+@pytest.mark.parametrize("name", REPORTS)
+def test_refresh_works_in_the_mounted_folder(spark, stored, on_cluster, name):
+    written = QUERIES[f"refresh_{name}"](spark, stored)
+    assert counted(written) == counted(QUERIES[f"report_{name}"](spark, stored))
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert all(shared in file for file in written.inputFiles())
