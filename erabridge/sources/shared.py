@@ -7,15 +7,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
+WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
     """``folder``, or else the one the session names in ``spark.checkpoint.dir``.
 
-    On a cluster a folder of the driver's own machine is refused, unless it is
-    or lies in the session's: what is mounted on every machine looks the same,
-    and Spark's own checkpoints rely on that setting too. Nothing is set or
-    made: the session stays as the caller configured it.
+    Executors that are processes of their own share the session's warehouse too,
+    so it is taken where neither is given. On a cluster a folder of the driver's
+    own machine is refused, unless it is or lies in one of these two: what is
+    mounted on every machine looks the same, and Spark's own checkpoints and
+    tables rely on those settings too. Nothing is set or made: the session stays
+    as the caller configured it.
     """
     context = spark.sparkContext
     named = (
@@ -23,11 +26,15 @@ def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
         or context.getConf().get(SETTING)
         or context.getCheckpointDir()
     )
+    warehouse = spark.conf.get(WAREHOUSE, None)
+    if not re.match(r"local(\[|$)", context.master):
+        named = named or warehouse
     folder = folder or named
     if not folder:
         raise ValueError(f"give a folder, or name one in {SETTING}")
+    shared = _lies_in(folder, named) or _lies_in(folder, warehouse)
     on_cluster = not context.master.startswith("local")
-    if on_cluster and not _lies_in(folder, named) and _of_one_machine(spark, folder):
+    if on_cluster and not shared and _of_one_machine(spark, folder):
         raise ValueError(f"executors can't share {folder}")
     return folder.rstrip("/")
 

@@ -173,6 +173,29 @@ def test_a_cluster_session_refuses_folders_beside_the_named_one(folder):
         shared_folder(FakeSessionOfShare(), folder)
 
 
+class FakeSessionOfWarehouse(FakeSession):
+    """It names no folder for checkpoints; its tables lie on a mounted folder."""
+
+    class conf:
+        @staticmethod
+        def get(key, default):
+            return "file:/mnt/tables" if key == "spark.sql.warehouse.dir" else default
+
+
+@pytest.mark.parametrize("master", ["spark://n:7077", "local-cluster[3,2,900]"])
+def test_a_session_without_a_shared_folder_takes_its_warehouse(monkeypatch, master):
+    monkeypatch.setattr(FakeSession.sparkContext, "master", master)
+    taken = shared_folder(FakeSessionOfWarehouse())
+    assert taken == "file:/mnt/tables"
+    assert fresh_path(FakeSessionOfWarehouse(), "x", taken).startswith(f"{taken}/x-")
+
+
+def test_a_session_of_one_process_must_name_the_shared_folder(monkeypatch):
+    monkeypatch.setattr(FakeSession.sparkContext, "master", "local[4]")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(FakeSessionOfWarehouse())
+
+
 def test_the_shared_folder_is_looked_up_without_a_change(spark, tmp_path):
     before = spark.sparkContext.getCheckpointDir()
     assert fresh_path(spark, "x", f"{tmp_path}/").startswith(f"{tmp_path}/x-")
