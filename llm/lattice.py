@@ -24,10 +24,16 @@ COUNTED_WORDS = 300_000
 #: Rounds of expectation-maximisation, and what each piece has beside its count.
 ROUNDS = 4
 EXTRA_COUNT = 0.1
+#: Words that are grouped by length together: of too few, most lengths have a handful.
+WORDS_AT_ONCE = 50_000
 #: Characters that are worked on together, and how pieces are hashed.
 CELLS = 1 << 16
 SLOT_BITS = 20
 FACTOR, SPREAD, MASK = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, (1 << 64) - 1
+#: Words of up to so many characters are first tried without logs, whose sums cost
+#: most. A word less likely than the second figure is done with them: the pieces that
+#: rounding to zero would lose weigh less than 1e-100 of it.
+PLAIN_SIZE, LEAST_PLAIN = 64, 1e-200
 #: What the end of a text is counted as; no word is empty.
 END = b""
 
@@ -58,6 +64,7 @@ class Lattice:
 
     def __post_init__(self):
         self.longest = max((len(x) for x in self.pieces if x), default=1)
+        self.chances = np.exp(self.logs)
         self.hashes = np.zeros(len(self.pieces) + 1, np.uint64)  # the last is of none
         self.slots = np.full(1 << SLOT_BITS, -1, np.int32)
         shared: dict[int, int] = {}
@@ -90,12 +97,13 @@ class Lattice:
 
     def find(self, marks: np.ndarray) -> np.ndarray:
         """The pieces with these hashes; -1 for none."""
-        found = self.slots[(marks * np.uint64(SPREAD)) >> np.uint64(64 - SLOT_BITS)]
-        missed = self.hashes[found] != marks
+        slots = (marks * np.uint64(SPREAD)) >> np.uint64(64 - SLOT_BITS)
+        found = self.slots.take(slots.view(np.int64))
+        missed = self.hashes.take(found, mode="wrap") != marks
         out = np.where(missed, -1, found)
         if len(self.others):
             rest = np.flatnonzero(missed & (found >= 0))
-            marks = marks.ravel()[rest] if marks.ndim > 1 else marks[rest]
+            marks = marks.ravel()[rest]
             at = np.minimum(np.searchsorted(self.others, marks), len(self.others) - 1)
             hit = self.others[at] == marks
             out.ravel()[rest[hit]] = self.other_pieces[at[hit]]
@@ -105,60 +113,110 @@ class Lattice:
         """The pieces of the bytes of a character that has no piece."""
         return [self.bytes_at + b for b in chr(sign).encode("utf-8", "surrogatepass")]
 
-    def grid(self, words: list[str]) -> tuple[np.ndarray, list, list]:
-        """Characters; by size of piece, the pieces at each place and their logs."""
+    def grid(self, words: list[str]) -> tuple[np.ndarray, list]:
+        """By place and word, the characters; by size of piece, the pieces there."""
         size = len(words[0])
         raw = "".join(words).encode("utf-32-le", "surrogatepass")
-        signs = np.frombuffer(raw, "<u4").reshape(len(words), size)
-        logs = np.append(self.logs, -np.inf)
-        marks = np.zeros(signs.shape, np.uint64)
-        found, weights = [], []
+        signs = np.frombuffer(raw, "<u4").reshape(len(words), size).T.astype(np.uint64)
+        marks, found = np.zeros(signs.shape, np.uint64), []
         for k in range(1, min(size, self.longest) + 1):
-            n = size - k + 1
-            marks = marks[:, :n] * np.uint64(FACTOR) + signs[:, k - 1 :].astype(np.uint64)
-            marks = marks + np.uint64(1)
-            found.append(self.find(marks.ravel()).reshape(marks.shape))
-            weights.append(logs[found[-1]])
-            if k == 1:
-                for sign in np.unique(signs[found[0] < 0]).tolist():
-                    weight = self.logs[self.spelled(sign)].sum()
-                    weights[0][(signs == sign) & (found[0] < 0)] = weight
-        return signs, found, weights
+            marks = marks[: size - k + 1] * np.uint64(FACTOR) + signs[k - 1 :]
+            marks += np.uint64(1)
+            found.append(self.find(marks))
+        return signs, found
+
+    def weights(self, signs: np.ndarray, found: list, logs: bool) -> list[np.ndarray]:
+        """The probabilities of the pieces of a grid, or their logs."""
+        every = self.logs if logs else self.chances
+        every = np.append(every, -np.inf if logs else 0.0)
+        out = [every.take(pieces, mode="wrap") for pieces in found]
+        unmet = found[0] < 0
+        for sign in np.unique(signs[unmet]).tolist():
+            weight = self.logs[self.spelled(sign)].sum()
+            out[0][(signs == sign) & unmet] = weight if logs else np.exp(weight)
+        return out
 
     @staticmethod
     def forward(weights: list, size: int) -> list[np.ndarray]:
         """By place, the log probability of all ways to get there."""
-        alpha = [np.zeros(len(weights[0]))]
+        alpha = [np.zeros(weights[0].shape[1])]
         for j in range(1, size + 1):
             sizes = range(1, min(j, len(weights)) + 1)
-            alpha.append(_log_sum([alpha[j - k] + weights[k - 1][:, j - k] for k in sizes]))
+            alpha.append(_log_sum([alpha[j - k] + weights[k - 1][j - k] for k in sizes]))
+        return alpha
+
+    @staticmethod
+    def forward_plain(weights: list, size: int) -> np.ndarray:
+        """As ``forward``, of probabilities themselves."""
+        alpha = np.zeros((size + 1, weights[0].shape[1]))
+        alpha[0] = 1.0
+        for j in range(1, size + 1):
+            for k in range(1, min(j, len(weights)) + 1):
+                alpha[j] += alpha[j - k] * weights[k - 1][j - k]
         return alpha
 
     def log_probabilities(self, words: list[bytes]) -> np.ndarray:
         """Of each word with the blank before it, over all its segmentations."""
         out = np.empty(len(words))
         for size, places, marked in _by_size(words):
-            _, _, weights = self.grid(marked)
-            out[places] = self.forward(weights, size)[-1]
+            signs, found = self.grid(marked)
+            if size <= PLAIN_SIZE:
+                ends = self.forward_plain(self.weights(signs, found, False), size)[-1]
+                if ends.min() > LEAST_PLAIN:
+                    out[places] = np.log(ends)
+                    continue
+            out[places] = self.forward(self.weights(signs, found, True), size)[-1]
         return out
 
     def add_expected(self, words: list[bytes], counts: np.ndarray, sums: np.ndarray) -> None:
         """Adds to ``sums`` how often each piece is expected in the counted words."""
         for size, places, marked in _by_size(words):
-            signs, found, weights = self.grid(marked)
-            alpha = self.forward(weights, size)
-            turned = [w[:, ::-1] for w in weights]
-            beta = self.forward(turned, size)[::-1]
-            n = counts[places]
-            for k in range(1, len(weights) + 1):
-                own = weights[k - 1]
-                ways = np.stack(alpha[: size - k + 1], 1) + own + np.stack(beta[k:], 1)
-                share = n[:, None] * np.exp(np.minimum(ways - alpha[-1][:, None], 0.0))
-                met = found[k - 1] >= 0
-                sums += np.bincount(found[k - 1][met], share[met], len(sums))
-                if k == 1:
-                    for sign in np.unique(signs[~met]).tolist():
-                        sums[self.spelled(sign)] += share[(signs == sign) & ~met].sum()
+            signs, found = self.grid(marked)
+            shares = self.shares(signs, found, size, counts[places])
+            unmet = found[0] < 0
+            for sign in np.unique(signs[unmet]).tolist():
+                sums[self.spelled(sign)] += shares[0][(signs == sign) & unmet].sum()
+            # One more place than pieces, for what has met none.
+            met = np.concatenate([x.ravel() for x in found]) + 1
+            share = np.concatenate([x.ravel() for x in shares])
+            sums += np.bincount(met, share, len(sums) + 1)[1:]
+
+    def shares(
+        self, signs: np.ndarray, found: list, size: int, counts: np.ndarray
+    ) -> list[np.ndarray]:
+        """By size of piece, how often the piece at each place of a grid is expected."""
+        if size <= PLAIN_SIZE:
+            weights = self.weights(signs, found, False)
+            alpha = self.forward_plain(weights, size)
+            if alpha[-1].min() > LEAST_PLAIN:
+                turned = [w[::-1] for w in weights]
+                beta = self.forward_plain(turned, size)[::-1]
+                alpha *= counts / alpha[-1]
+                return [
+                    alpha[: size - k + 1] * own * beta[k:]
+                    for k, own in enumerate(weights, 1)
+                ]
+        weights = self.weights(signs, found, True)
+        alpha = self.forward(weights, size)
+        turned = [w[::-1] for w in weights]
+        beta = self.forward(turned, size)[::-1]
+        out = []
+        for k, own in enumerate(weights, 1):
+            ways = np.stack(alpha[: size - k + 1]) + own + np.stack(beta[k:])
+            out.append(counts * np.exp(np.minimum(ways - alpha[-1], 0.0)))
+        return out
+
+
+def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in batches of about ``WORDS_AT_ONCE``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= WORDS_AT_ONCE:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
 
 
 def _by_size(words: list[bytes]) -> Iterator[tuple[int, list[int], list[str]]]:
@@ -229,7 +287,7 @@ def learned(words: DataFrame, lattice: Lattice, rounds: int = ROUNDS) -> Lattice
 
         def expect(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             sums = np.zeros(len(now.logs))
-            for batch in batches:
+            for batch in _larger(batches):
                 words, counts = batch.column(0).to_pylist(), batch.column(1).to_numpy()
                 if END in words:
                     sums[-1] += counts[words.index(END)]
@@ -260,7 +318,7 @@ def scored_words(words: DataFrame, lattice: Lattice, total: int, once: int) -> D
     whole = min(0.999, 1 - once / total) if total else 0.0
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _larger(batches):
             names, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
             logs = lattice.log_probabilities(names)
             if END in names:

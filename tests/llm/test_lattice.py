@@ -5,6 +5,7 @@ from collections import Counter
 from math import exp, log, log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,42 @@ def test_expected_counts(pieces):
     assert sums == pytest.approx(expected)
 
 
+def test_sums_without_logs_equal_those_with(pieces, monkeypatch):
+    rng = random.Random(5)
+    signs = "abcdefgheiou-\u00e9\u65e5\U0001f600"
+    words = ["".join(rng.choices(signs, k=rng.randint(1, 70))).encode() for _ in range(400)]
+    words += ["\U0001f600".encode() * n for n in (5, 20, 63, 64)]  # too unlikely without
+    counts = np.array([rng.randint(1, 9) for _ in words])
+
+    def found():
+        sums = np.zeros(len(pieces.logs))
+        pieces.add_expected(words, counts, sums)
+        return sums, pieces.log_probabilities(words)
+
+    by_plain, plain = found()
+    monkeypatch.setattr(lattice, "PLAIN_SIZE", 0)
+    by_logs, logs = found()
+    assert by_plain == pytest.approx(by_logs, rel=1e-9) and by_logs.sum() > 0
+    assert plain == pytest.approx(logs, rel=1e-12)
+    assert plain.min() < np.log(lattice.LEAST_PLAIN)
+
+
+def test_likely_words_are_summed_without_logs(pieces, monkeypatch):
+    words = [b"the", b"thereupon", "\u00e9t\u00e9".encode()]
+    monkeypatch.setattr(lattice, "_log_sum", lambda terms: pytest.fail("it took logs"))
+    assert (pieces.log_probabilities(words) < 0).all()
+    pieces.add_expected(words, np.ones(3), np.zeros(len(pieces.logs)))
+
+
+def test_small_batches_are_joined(monkeypatch):
+    monkeypatch.setattr(lattice, "WORDS_AT_ONCE", 5)
+    made = [pa.RecordBatch.from_pydict({"n": [i, i]}) for i in range(7)]
+    larger = list(lattice._larger(iter(made)))
+    assert [b.num_rows for b in larger] == [6, 6, 2]
+    assert [n for b in larger for n in b.column(0).to_pylist()] == [i for i in range(7) for _ in "xx"]
+    assert not list(lattice._larger(iter([])))
+
+
 def test_a_very_long_word(pieces):
     word = b"reallylongword" * 3_000
     one = pieces.log_probabilities([word[:14_000]])[0]
