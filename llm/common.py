@@ -24,31 +24,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that is unset, and Spark runs on this machine alone, a folder in /tmp
-    takes its place. On a cluster a folder of the driver's own machine is refused.
+    Executors that are processes of their own share the session's warehouse too, so it
+    is taken where that is unset. Neither is refused for its scheme: what is mounted on
+    every machine looks like a folder of one, and Spark fails a checkpoint that the
+    driver can't read back. Where Spark runs in one process, a folder in /tmp will do.
     """
     context = spark.sparkContext
-    alone = context.master.startswith("local")
-    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not alone:
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    if not alone and _of_one_machine(spark, folder):
-        raise ValueError(f"executors can't share {folder}")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.match(r"local(\[|$)", context.master):
+            folder = spark.conf.get("spark.sql.warehouse.dir", None)
+            if not folder:
+                raise ValueError("set spark.checkpoint.dir to a shared folder")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return context.getCheckpointDir()
 
 
-def _of_one_machine(spark: SparkSession, folder: str) -> bool:
-    scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", folder)
-    if scheme is None:
-        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
-        scheme = re.match(r"([^:]*):", default or "file:")
-    return scheme.group(1).lower() == "file"
-
-
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder that a job has made and no later one reads."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
