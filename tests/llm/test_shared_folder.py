@@ -6,6 +6,13 @@ import pytest
 
 import corpus_pipeline
 from llm.common import shared_folder
+from llm.queries import QUERIES
+
+KEYS = {"op9_urls": "page_id", "op11_whitening": "vec_id"}
+#: The queries that store rows on their way.
+STORING = [
+    "op1_simhash",
+]
 
 
 class Context:
@@ -90,3 +97,12 @@ def test_pipeline_works_in_the_mounted_folder(spark, tables, on_cluster):
     found = {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()}
     assert found and found < {*ids["doc_id"]}
     assert any(f.name.startswith("pipeline-") for f in set(on_cluster.iterdir()) - before)
+
+
+@pytest.mark.parametrize("name", STORING)
+def test_query_works_in_the_mounted_folder(spark, tables, on_cluster, name):
+    folder, ids = tables
+    before, key = set(on_cluster.iterdir()), KEYS.get(name, "doc_id")
+    found = QUERIES[name](spark, folder)
+    assert {r[key] for r in found.select(key).collect()} == {*ids[key]}
+    assert any(f.name.startswith("rdd-") for f in set(on_cluster.iterdir()) - before)
