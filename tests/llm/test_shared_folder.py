@@ -13,6 +13,7 @@ KEYS = {"op9_urls": "page_id", "op11_whitening": "vec_id"}
 STORING = [
     "op1_simhash",
     "op5_lattice",
+    "op6_packing",
 ]
 
 
