@@ -14,6 +14,7 @@ STORING = [
     "op1_simhash",
     "op5_lattice",
     "op6_packing",
+    "op9_urls",
 ]
 
 
