@@ -16,6 +16,7 @@ STORING = [
     "op6_packing",
     "op9_urls",
     "op10_fingerprints",
+    "op11_whitening",
 ]
 
 
