@@ -17,6 +17,7 @@ STORING = [
     "op9_urls",
     "op10_fingerprints",
     "op11_whitening",
+    "op12_merkle",
 ]
 
 
