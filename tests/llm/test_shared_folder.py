@@ -12,6 +12,7 @@ KEYS = {"op9_urls": "page_id", "op11_whitening": "vec_id"}
 #: The queries that store rows on their way.
 STORING = [
     "op1_simhash",
+    "op2_toxicity",
     "op5_lattice",
     "op6_packing",
     "op9_urls",
