@@ -15,6 +15,7 @@ STORING = [
     "op2_toxicity",
     "op5_lattice",
     "op6_packing",
+    "op7_quality",
     "op9_urls",
     "op10_fingerprints",
     "op11_whitening",
