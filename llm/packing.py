@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from pathlib import Path
 from struct import pack as packed_ids
 from zlib import crc32
 
@@ -123,8 +124,10 @@ def tokenised(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> Dat
     """A row for each piece of each row of ``docs`` (doc_id, text, ...).
 
     A document is its ids and one end id; a null or empty text is the end id alone.
-    Documents of more than ``capacity`` ids are cut after every ``capacity``.
+    Documents of more than ``capacity`` ids are cut after every ``capacity``. The
+    driver reads the vocabulary's file, which executors needn't have.
     """
+    rules = Path(vocabulary).read_text("utf-8")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -132,7 +135,7 @@ def tokenised(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> Dat
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(vocabulary)
+        tokenizer = Tokenizer.from_str(rules)
         words = WordIds(tokenizer)
         largest = max(END_ID, *tokenizer.get_vocab(with_added_tokens=True).values())
         short = largest < 1 << 8 * SHORT_BYTES

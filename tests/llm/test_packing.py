@@ -2,6 +2,7 @@
 
 import random
 import struct
+from pathlib import Path
 from zlib import crc32
 
 import pytest
@@ -34,6 +35,16 @@ def test_cache_may_run_over(monkeypatch):
     assert list(packing.WordIds(tokenizer).encode(texts)) == whole
 
 
+def test_tasks_need_no_vocabulary_file(spark, documents, tmp_path):
+    docs = documents([(1, "the first text"), (2, None)])
+    whole = packing.tokenised(docs, VOCABULARY).collect()
+    own = tmp_path / "vocabulary.json"
+    own.write_bytes(Path(VOCABULARY).read_bytes())
+    found = packing.tokenised(docs, str(own))
+    own.unlink()
+    assert sorted(found.collect()) == sorted(whole)
+
+
 def slots_of(plan):
     for length, first, last, each, sequence, offset in plan:
         for rank in range(first, last):
