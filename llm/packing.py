@@ -6,7 +6,7 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 from pathlib import Path
 from struct import pack as packed_ids
-from zlib import crc32
+from zlib import compress, crc32, decompress
 
 import numpy as np
 import pyarrow as pa
@@ -127,7 +127,7 @@ def tokenised(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> Dat
     Documents of more than ``capacity`` ids are cut after every ``capacity``. The
     driver reads the vocabulary's file, which executors needn't have.
     """
-    rules = Path(vocabulary).read_text("utf-8")
+    rules = compress(Path(vocabulary).read_bytes())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -135,7 +135,7 @@ def tokenised(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> Dat
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(rules)
+        tokenizer = Tokenizer.from_buffer(decompress(rules))
         words = WordIds(tokenizer)
         largest = max(END_ID, *tokenizer.get_vocab(with_added_tokens=True).values())
         short = largest < 1 << 8 * SHORT_BYTES
